@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from movelane.llm import components, encode, mixture, survivor
+from movelane.llm import boilerplate, components, encode, mixture, survivor
 from movelane.session import table
 
 
@@ -10,6 +10,10 @@ def p2_found(spark, root):
     return components.move_groups(table(spark, root, "pair_scores"))
 
 
+def p4_found(spark, root):
+    return boilerplate.body_lines(table(spark, root, "raw_items")).selectExpr("item_id", "line_no")
+
+
 def p6_found(spark, root):
     return survivor.surviving_values(table(spark, root, "extracted_moves"), table(spark, root, "sources")).select("group_ref", "field_name", "move_id")
 
@@ -26,5 +30,5 @@ def p9_shares(spark, root):
     return mixture.mixture_report(table(spark, root, "documents"), table(spark, root, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p6_found, p8_ids, p9_positions, p9_shares)}
+QUERIES = {f.__name__: f for f in (p2_found, p4_found, p6_found, p8_ids, p9_positions, p9_shares)}
 SQL: dict[str, str] = {}
