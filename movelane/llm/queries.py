@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from movelane.llm import boilerplate, components, encode, mixture, survivor
+from movelane.llm import boilerplate, components, encode, mixture, residue, survivor
 from movelane.session import table
 
 
@@ -30,5 +30,9 @@ def p9_shares(spark, root):
     return mixture.mixture_report(table(spark, root, "documents"), table(spark, root, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p4_found, p6_found, p8_ids, p9_positions, p9_shares)}
+def p10_found(spark, root):
+    return residue.residue(table(spark, root, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p4_found, p6_found, p8_ids, p9_positions, p9_shares, p10_found)}
 SQL: dict[str, str] = {}
