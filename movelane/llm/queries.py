@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from movelane.llm import boilerplate, components, encode, mixture, residue, survivor
+from movelane.llm import boilerplate, canonical, components, encode, mixture, residue, survivor
 from movelane.session import table
 
 
@@ -18,6 +18,10 @@ def p6_found(spark, root):
     return survivor.surviving_values(table(spark, root, "extracted_moves"), table(spark, root, "sources")).select("group_ref", "field_name", "move_id")
 
 
+def p7_found(spark, root):
+    return canonical.map_values(table(spark, root, "role_parts"), table(spark, root, "ref_values"))
+
+
 def p8_ids(spark, root):
     return encode.encode_documents(table(spark, root, "documents"))
 
@@ -34,5 +38,5 @@ def p10_found(spark, root):
     return residue.residue(table(spark, root, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p4_found, p6_found, p8_ids, p9_positions, p9_shares, p10_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p4_found, p6_found, p7_found, p8_ids, p9_positions, p9_shares, p10_found)}
 SQL: dict[str, str] = {}
