@@ -178,11 +178,15 @@ def rank_entries(values: DataFrame, ref_values: DataFrame, other_names: dict[str
     weights = fixed.join(idf, ["kind", "term"])
     own = weights.groupBy("kind", "token").agg(F.max_by("w", "sim").alias("own"))
     rarest = idf.groupBy("kind").agg(F.max("w").alias("most"))
-    sized = words.join(own, ["kind", "token"], "left").join(rarest, "kind").groupBy("kind", "value").agg(F.sqrt(F.sum(F.pow(F.coalesce("own", "most"), F.lit(2)))).alias("value_norm"))
-    met = words.join(fixed, ["kind", "token"]).join(weighed, ["kind", "term"])
-    pairs = met.groupBy("kind", "value", "ref_code", "surface", "trust", "surface_norm", "term").agg(F.max(F.col("sim") * F.col("w") * F.col("w")).alias("part"))
-    scores = pairs.groupBy("kind", "value", "ref_code", "surface", "trust", "surface_norm").agg(F.sum("part").alias("dot")).join(sized, ["kind", "value"])
-    scored = scores.select("kind", "value", "ref_code", (F.col("trust") * F.col("dot") / (F.col("value_norm") * F.col("surface_norm"))).alias("score")).unionByName(closed_up(values, named))
+    owned = words.join(own, ["kind", "token"], "left").join(rarest, "kind").select("kind", "value", "token", F.pow(F.coalesce("own", "most"), F.lit(2)).alias("own2"))
+    sized = owned.groupBy("kind", "value").agg(F.sum("own2").alias("value2"))
+    met = owned.join(fixed, ["kind", "token"]).join(weighed, ["kind", "term"])
+    entry = ["kind", "value", "ref_code", "surface", "trust", "surface_norm"]
+    pairs = met.groupBy(*entry, "token").agg(F.max(F.struct((F.col("sim") * F.col("w") * F.col("w")).alias("part"), (F.col("w") * F.col("w")).alias("w2"), "own2")).alias("m"))
+    scores = pairs.groupBy(*entry).agg(F.sum("m.part").alias("dot"), F.sum("m.w2").alias("met2"), F.sum("m.own2").alias("own2")).join(sized, ["kind", "value"])
+    # A token that meets an entry weighs as the term it meets; the others weigh as their best term, or as the rarest.
+    norm = F.sqrt(F.col("value2") - F.col("own2") + F.col("met2")) * F.col("surface_norm")
+    scored = scores.select("kind", "value", "ref_code", (F.col("trust") * F.least(F.lit(1.0), F.col("dot") / norm)).alias("score")).unionByName(closed_up(values, named))
     return scored.groupBy("kind", "value").agg(F.min_by(F.struct("ref_code", "score"), F.struct(F.round(-F.col("score"), 6), "ref_code")).alias("b")).select("kind", "value", "b.ref_code", "b.score")
 
 
