@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from movelane.llm import boilerplate, canonical, components, encode, mixture, residue, survivor
+from movelane.llm import boilerplate, canonical, components, encode, mixture, names, residue, survivor
 from movelane.session import table
 
 
@@ -10,6 +10,10 @@ def p2_found(spark, root):
     return components.move_groups(table(spark, root, "pair_scores"))
 
 
+def p3_found(spark, root):
+    return names.links(table(spark, root, "firms"), table(spark, root, "extracted_moves"))
+
+
 def p4_found(spark, root):
     return boilerplate.body_lines(table(spark, root, "raw_items")).selectExpr("item_id", "line_no")
 
@@ -38,5 +42,5 @@ def p10_found(spark, root):
     return residue.residue(table(spark, root, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p4_found, p6_found, p7_found, p8_ids, p9_positions, p9_shares, p10_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p4_found, p6_found, p7_found, p8_ids, p9_positions, p9_shares, p10_found)}
 SQL: dict[str, str] = {}
