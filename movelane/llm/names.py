@@ -9,7 +9,7 @@ clusters; forms that fit several people (initials, short names) join a cluster o
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import permutations
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -149,7 +149,7 @@ def person_parts(name: Column) -> Column:
     )
 
 
-def given_words(spellings: DataFrame, share: float = 0.02, least: int = 4) -> DataFrame:
+def given_words(spellings: DataFrame, share: float = 0.012, least: int = 4) -> DataFrame:
     """(word, n): the words that many firms' names have, which surnames don't: given names, with the known short forms."""
     words = spellings.select("firm", F.explode("p.words").alias("word"))
     spread = words.groupBy("word").agg(F.count_distinct("firm").alias("firms"), F.count("*").alias("n"))
@@ -169,15 +169,16 @@ def repaired_words(spellings: DataFrame, given: DataFrame) -> DataFrame:
 
 
 def person_forms(moves: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((firm, name, form), (form, firm, surname, givens, alias)): spellings to forms; a form's id is its smallest move_id."""
+    """((firm, name, form), (form, firm, surname, givens, known, alias, half)): spellings to forms; a form's id is its smallest move_id."""
     rows = moves.filter("person_name is not null and to_firm_id is not null and move_id is not null").select("move_id", F.col("to_firm_id").alias("firm"), F.col("person_name").alias("name"))
     spellings = rows.groupBy("firm", "name").agg(F.min("move_id").alias("first")).withColumn("p", person_parts(F.col("name"))).filter(F.size("p.words") > 0)
     given = given_words(spellings)
     fixes = repaired_words(spellings, given)
-    vocabulary = spellings.select(F.explode("p.words").alias("word")).distinct()
-    vocabulary = vocabulary.join(fixes, "word", "left").join(given.select(F.col("word").alias("fixed0"), F.lit(True).alias("is_given")), F.coalesce("fixed", "word") == F.col("fixed0"), "left").select("word", "fixed", F.coalesce("is_given", F.lit(False)).alias("is_given"))
+    vocabulary = spellings.select(F.explode("p.words").alias("word")).groupBy("word").agg(F.count("*").alias("k"))
+    marks = given.select(F.col("word").alias("of"), F.lit(True).alias("is_given"))
+    vocabulary = vocabulary.join(fixes, "word", "left").join(marks, F.coalesce("fixed", "word") == F.col("of"), "left").select("word", "k", "fixed", F.coalesce("is_given", F.lit(False)).alias("is_given"))
     placed = spellings.select("firm", "name", F.posexplode("p.words").alias("i", "word")).join(vocabulary, "word")
-    marked = placed.groupBy("firm", "name").agg(F.array_sort(F.collect_list(F.struct("i", "word", "fixed", "is_given"))).alias("w")).join(spellings, ["firm", "name"])
+    marked = placed.groupBy("firm", "name").agg(F.array_sort(F.collect_list(F.struct("i", "word", "k", "fixed", "is_given"))).alias("w")).join(spellings, ["firm", "name"])
     n = F.size("w")
     loud = F.size(F.filter("p.caps", lambda c: c))
     at = lambda i: F.get(F.col("w"), i)
@@ -185,19 +186,24 @@ def person_forms(moves: DataFrame) -> tuple[DataFrame, DataFrame]:
     first_loud = F.get("p.caps", F.lit(0)) & (loud == 1) & (n > 1)
     turned = (n > 1) & at(n - 1)["is_given"] & ~at(F.lit(0))["is_given"] & (F.length(at(F.lit(0))["word"]) > 2)
     front = F.when(F.col("p.cut") > 0, F.col("p.cut")).when(first_loud | turned, F.lit(1)).otherwise(F.lit(0))
-    parsed = marked.withColumn("front", front)
+    certain = F.when(F.col("p.cut") > 0, 3).when(first_loud, 2).when(turned, 1).otherwise(0)
+    parsed = marked.withColumn("front", front).withColumn("certain", certain)
     parsed = parsed.select(
-        "firm", "name", "first", "p.alias",
+        "firm", "name", "first", "p.alias", "certain",
         F.when(F.col("front") > 0, F.slice("w", F.lit(1), F.col("front"))).otherwise(F.slice("w", n, F.lit(1))).alias("s"),
         F.when(F.col("front") > 0, F.slice("w", F.col("front") + 1, n)).otherwise(F.slice("w", F.lit(1), n - 1)).alias("g"),
-    ).select(
-        "firm", "name", "first", "alias", F.array_join(F.transform("s", lambda x: x["word"]), "").alias("surname"),
-        F.transform("g", lambda x: F.coalesce(x["fixed"], x["word"])).alias("givens"),
     )
-    key = ["firm", "surname", "givens", "alias"]
-    ids = parsed.groupBy(*key).agg(F.min("first").alias("form"))
-    links = parsed.alias("a").join(ids.alias("b"), (F.col("a.firm") == F.col("b.firm")) & (F.col("a.surname") == F.col("b.surname")) & (F.col("a.givens") == F.col("b.givens")) & F.col("a.alias").eqNullSafe(F.col("b.alias"))).select("a.firm", "a.name", "b.form")
-    return links, ids
+    fixed = lambda x: F.coalesce(x["fixed"], x["word"])
+    parse = F.struct(F.array_join(F.transform("s", lambda x: x["word"]), "").alias("surname"), F.transform("g", fixed).alias("givens"), F.transform("g", lambda x: x["is_given"]).alias("known"))
+    # Spellings of the same words in any order are one form; the parse with the surest surname, then the rarest, holds.
+    keyed = parsed.select("firm", "name", "first", "alias", F.array_join(F.array_sort(F.concat(F.transform("s", lambda x: x["word"]), F.transform("g", fixed))), " ").alias("words"), parse.alias("parse"), F.struct("certain", -F.array_max(F.transform("s", lambda x: x["k"])).alias("rare")).alias("sure"))
+    key = ["firm", "words", "alias"]
+    ids = keyed.groupBy(*key).agg(F.min("first").alias("form"), F.max_by("parse", F.struct("sure", "first")).alias("parse"))
+    links = keyed.alias("a").join(ids.alias("b"), (F.col("a.firm") == F.col("b.firm")) & (F.col("a.words") == F.col("b.words")) & F.col("a.alias").eqNullSafe(F.col("b.alias"))).select("a.firm", "a.name", "b.form")
+    forms = ids.select("form", "firm", "alias", "parse.*")
+    # First given words that hardly ever stand alone (Siew Jun, Siew Ling) are half a name.
+    lone = forms.filter(F.size("givens") > 0).groupBy(F.get("givens", F.lit(0)).alias("head")).agg((F.sum(F.when(F.size("givens") == 1, 1).otherwise(0)) < 0.3 * F.count("*")).alias("half"))
+    return links, forms.join(lone, F.get("givens", F.lit(0)) == F.col("head"), "left").select("form", "firm", "surname", "givens", "known", "alias", F.coalesce("half", F.lit(False)).alias("half"))
 
 
 def chosen_names(forms: DataFrame, share: float = 0.1, least: int = 2) -> DataFrame:
@@ -229,20 +235,23 @@ def _one_edit(a: str, b: str) -> bool:
 SURE, SHORT, INITIAL = 3, 2, 1
 
 
-def word_match(a: str, b: str) -> int:
-    """How two given words agree: SURE, SHORT (short form or slip in a short word), INITIAL, or 0."""
+def word_match(a: str, b: str, known_a: bool = False, known_b: bool = False) -> int:
+    """How two given words agree: SURE, SHORT (short form, or slip in a short word), INITIAL, or 0.
+
+    Two different words that are both known as given names are no slip of each other.
+    """
     if a == b:
         return SURE
     if len(a) == 1 or len(b) == 1:
         return INITIAL if a[:1] == b[:1] else 0
     if b in _SHORT_OF.get(a, ()) or a in _SHORT_OF.get(b, ()) or _SHORT_OF.get(a, set()) & _SHORT_OF.get(b, set()):
         return SHORT
-    if min(len(a), len(b)) >= 3 and _one_edit(a, b) and not (len(a) == len(b) == 3):
+    if not (known_a and known_b) and _one_edit(a, b):
         return SURE if min(len(a), len(b)) >= 6 else SHORT
     return 0
 
 
-def given_match(a: list[str], b: list[str]) -> int:
+def given_match(a: list[str], b: list[str], known_a: list[bool], known_b: list[bool], half_a: bool, half_b: bool) -> int:
     """Agreement of two lists of given words under the best assignment; the longer one may have extra middle names."""
     if not a or not b:
         return 0
@@ -251,40 +260,32 @@ def given_match(a: list[str], b: list[str]) -> int:
     joined, apart = "".join(a), "".join(b)
     if (len(a) == 1) != (len(b) == 1) and min(len(joined), len(apart)) >= 6 and _one_edit(joined, apart):
         return SHORT
-    few, many = (a, b) if len(a) <= len(b) else (b, a)
-    many = many[:6]
-    if len(few) > 4:
+    if len(a) > len(b):
+        a, b, known_a, known_b, half_a, half_b = b, a, known_b, known_a, half_b, half_a
+    b = b[:6]
+    if len(a) > 4 or (len(a) == 1 and len(a[0]) > 1 and len(b) > 1 and half_b):
         return 0
     best = 0
-    for chosen in permutations(range(len(many)), len(few)):
-        if list(chosen) != sorted(chosen) or chosen[0] != 0:
-            continue
-        grade = min(word_match(x, many[i]) for x, i in zip(few, chosen))
-        # Two full words against one (Min, Min Feng) say too little; a lone initial stands for the first word.
-        if grade == SURE and len(few) == 1 and len(many) == 2 and len(many[0]) <= 4 and len(many[1]) > 1 and len(many[1]) <= 4:
-            grade = 0
-        best = max(best, grade)
+    for rest in combinations(range(1, len(b)), len(a) - 1):
+        best = max(best, min(word_match(x, b[i], known_a[k], known_b[i]) for k, (x, i) in enumerate(zip(a, (0, *rest)))))
     return best
 
 
-def person_match(a: tuple, b: tuple) -> int:
-    """Agreement of two forms (surname, givens, alias, chosen): the worse of surname and given names."""
-    (sa, ga, xa, ca), (sb, gb, xb, cb) = a, b
+def person_match(a: dict, b: dict) -> int:
+    """Agreement of two forms: 0 unless the surnames are within one edit, else that of given names and chosen names."""
+    sa, ga, xa, sb, gb, xb = a["surname"], a["givens"], a["alias"], b["surname"], b["givens"], b["alias"]
     if sa != sb and not (min(len(sa), len(sb)) >= 5 and _one_edit(sa, sb)):
         return 0
-    grade = given_match(ga, gb)
+    grade = given_match(ga, gb, a["known"], b["known"], a["half"], b["half"])
     if grade == 0:
-        for alias, givens, others in ((xa, gb, ga), (xb, ga, gb)):
-            if alias and givens == [alias]:
-                grade = SURE
-            elif alias and len(givens) == 1 and word_match(alias, givens[0]) == INITIAL:
-                grade = max(grade, INITIAL)
+        for alias, givens in ((xa, gb), (xb, ga)):
+            if alias and len(givens) == 1:
+                grade = max(grade, SURE if givens[0] == alias else word_match(alias, givens[0]) == INITIAL and INITIAL)
         if not grade and xa and xa == xb and ga[:1] == gb[:1]:
             grade = SURE
-        if not grade and ((ca and len(gb) >= 2 and not xb and min(map(len, gb)) > 1) or (cb and len(ga) >= 2 and not xa and min(map(len, ga)) > 1)):
-            grade = SHORT
-        if not grade and ((ca and len(gb) >= 2 and max(map(len, gb)) == 1) or (cb and len(ga) >= 2 and max(map(len, ga)) == 1)):
-            grade = INITIAL
+        for one, other in ((a, b), (b, a)):
+            if not grade and one["chosen"] and len(other["givens"]) >= 2 and not other["alias"]:
+                grade = INITIAL if max(map(len, other["givens"])) == 1 else SHORT if other["half"] else 0
     if sa != sb and grade == SURE and max(map(len, ga), default=0) < 3:
         grade = INITIAL
     return grade
@@ -292,7 +293,7 @@ def person_match(a: tuple, b: tuple) -> int:
 
 def form_pairs(forms: DataFrame) -> DataFrame:
     """(a, b, grade) of the forms of one firm whose surnames are within one edit and whose given names agree."""
-    rated = forms.join(chosen_names(forms).withColumn("chosen", F.lit(True)), (F.size("givens") == 1) & (F.get("givens", F.lit(0)) == F.col("word")), "left").select("form", "firm", F.struct("surname", "givens", "alias", F.coalesce("chosen", F.lit(False)).alias("chosen")).alias("f"))
+    rated = forms.join(chosen_names(forms).withColumn("chosen", F.lit(True)), (F.size("givens") == 1) & (F.get("givens", F.lit(0)) == F.col("word")), "left").select("form", "firm", F.struct("surname", "givens", "known", "alias", "half", F.coalesce("chosen", F.lit(False)).alias("chosen")).alias("f"))
     keyed = rated.select("form", "firm", "f", F.explode(deletions(F.col("f.surname"), 5)).alias("key"))
     other = keyed.select(F.col("form").alias("form2"), "firm", F.col("f").alias("f2"), "key")
     pairs = keyed.join(other, ["firm", "key"]).filter("form < form2").select("form", "form2", "f", "f2").dropDuplicates(["form", "form2"])
@@ -300,7 +301,7 @@ def form_pairs(forms: DataFrame) -> DataFrame:
     def grade(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, left, right = (batch.column(i).to_pylist() for i in range(4))
-            grades = [person_match((x["surname"], x["givens"], x["alias"], x["chosen"]), (y["surname"], y["givens"], y["alias"], y["chosen"])) for x, y in zip(left, right)]
+            grades = list(map(person_match, left, right))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(grades, pa.int32())], ["a", "b", "grade"])
 
     return pairs.mapInArrow(grade, "a long, b long, grade int").filter("grade > 0")
