@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from movelane.functions.text import deletions, edits, fold_accents, squeeze
 from movelane.llm.components import connected_components
+from movelane.session import cut_lineage
 
 # Legal forms and other words around an organisation's own name, longest first.
 FIRM_WORDS = r"llp|l\.l\.p\.|law firm|law offices?|law|partners|associates|chambers|legal|lawyers|solicitors|advocates|attorneys|& co|and co|pte\. ltd\.|pte ltd|ltd|limited|plc|inc|gmbh|group|\([a-z ]+\)"
@@ -41,13 +42,10 @@ SHORT_FORMS = {
 
 
 def firm_core(name: Column) -> Column:
-    """The own words of an organisation's name: folded, lower case, without legal form, office or article."""
+    """The own words of an organisation's name: folded, lower case, without legal forms, offices or article."""
     text = F.lower(fold_accents(squeeze(name)))
-    text = F.regexp_replace(text, r"^chambers of ", "")
-    text = F.regexp_replace(text, r"^the (.+) group$", "$1")
-    for _ in range(3):
-        stripped = F.regexp_replace(text, rf"^(\S.*?)[ ,]*(?<![a-z])(?:{FIRM_WORDS}|{OFFICES})$", "$1")
-        text = F.when(F.length(stripped) >= 2, stripped).otherwise(text)
+    text = F.regexp_replace(text, r"^chambers of |^the (?=.+ group$)", "")
+    text = F.regexp_replace(text, rf"^(\S.+?)(?:[ ,]+(?:{FIRM_WORDS}|{OFFICES}))+$", "$1")
     words = F.split(F.trim(F.regexp_replace(text, r"[^\p{L}\p{N}']+|\band\b", " ")), r"\s+")
     return F.filter(words, lambda w: w != "")
 
@@ -92,12 +90,13 @@ def firm_clusters(firms: DataFrame) -> DataFrame:
     """
     kind = F.when(F.lower("firm_type") != "other", F.lower("firm_type"))
     base = firms.filter("firm_id is not null and canonical_name is not null").select("firm_id", F.upper(F.trim("hq_jurisdiction")).alias("hq"), kind.alias("kind"), firm_core(F.col("canonical_name")).alias("core"), "aliases")
-    base = base.filter(F.size("core") > 0)
+    base = cut_lineage(base.filter(F.size("core") > 0))
     is_short = lambda core: (F.size(core) == 1) & (F.length(F.get(core, F.lit(0))) <= 4) | (F.size(core) == 2) & (F.length(F.get(core, F.lit(1))) <= 2)
     aliases = base.select("firm_id", "hq", "kind", F.col("core").alias("own"), F.explode("aliases").alias("alias")).filter("alias is not null")
     aliases = aliases.select("firm_id", "hq", "kind", "own", firm_core(F.col("alias")).alias("core")).filter(F.size("core") > 0)
     spelled = aliases.filter(~is_short(F.col("core")) & (is_short(F.col("own")) & (F.size("core") >= 2) & F.array_contains(short_keys(F.col("core")), F.array_join("own", " ")) | (F.size("core") == F.size("own")) & ~is_short(F.col("own"))))
     forms = base.select("firm_id", "hq", "kind", "core").filter(~is_short(F.col("core"))).unionByName(spelled.select("firm_id", "hq", "kind", "core")).distinct()
+    forms = cut_lineage(forms)
 
     # Forms that are spelled alike meet first, so that one name in many entries is one node of the comparison.
     nodes = forms.groupBy(F.array_sort("core").alias("core")).agg(F.min("firm_id").alias("node"))
@@ -107,7 +106,7 @@ def firm_clusters(firms: DataFrame) -> DataFrame:
     entry = forms.select(F.array_sort("core").alias("core"), "firm_id", "hq", "kind").distinct()
     same = entry.alias("a").join(nodes.alias("n"), "core").join(entry.select("firm_id", "hq", "kind").distinct().alias("b"), F.col("b.firm_id") == F.col("n.node")).filter(_compatible("a", "b")).select(F.col("a.firm_id").alias("a"), F.col("n.node").alias("b"))
     typed = near.join(entry.alias("a"), "core").join(entry.withColumnRenamed("core", "core2").alias("b"), "core2").filter(_compatible("a", "b")).select(F.col("a.firm_id").alias("a"), F.col("b.firm_id").alias("b"))
-    edges = same.unionByName(typed).filter("a <> b")
+    edges = cut_lineage(same.unionByName(typed).filter("a <> b"))
 
     # Initials: an entry known by them only joins the one organisation that they fit and that nothing contradicts.
     sure = connected_components(edges)
@@ -128,25 +127,25 @@ _SHORT = sorted({(short, full) for full, shorts in SHORT_FORMS.items() for short
 _KNOWN_GIVEN = sorted({name for pair in _SHORT for name in pair})
 
 
-def person_parts(name: Column) -> Column:
-    """struct(words, caps, cut, alias): folded words in order, which of them are capitals among others, where a comma cut."""
-    text = F.regexp_replace(fold_accents(squeeze(name)), r"[’'`´]", "")
-    bracket = F.lower(F.trim(F.regexp_extract(text, r"[(\[]([^()\[\]]*)[)\]]", 1)))
-    bare = F.regexp_replace(text, r"[(\[][^()\[\]]*[)\]]", " ")
+def person_parts(spellings: DataFrame, name: str = "name") -> DataFrame:
+    """``spellings`` with p = struct(words, caps, cut, alias): folded words, which are capitals, where a comma cut."""
+    rows = spellings.withColumn("_t", F.regexp_replace(fold_accents(squeeze(F.col(name))), r"[’'`´]", ""))
+    rows = rows.withColumn("_b", F.regexp_replace(F.lower(F.trim(F.regexp_extract("_t", r"[(\[]([^()\[\]]*)[)\]]", 1))), r"[^\p{L}\p{N} ]", ""))
+    bare = F.regexp_replace("_t", r"[(\[][^()\[\]]*[)\]]", " ")
     # Post-nominals go first, so that a comma before them is no cut.
     bare = F.regexp_replace(bare, rf"(?i)(?:[ ,]+(?:{'|'.join(_POST)})\b\.?)+\s*$", "")
     bare = F.regexp_replace(bare, rf"(?i)^\s*(?:(?:{'|'.join(_HON)})\b\.?\s+)+", "")
-    sides = F.split(bare, ",", 2)
-    split = lambda t: F.filter(F.split(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
-    left, right = split(F.get(sides, F.lit(0))), F.when(F.size(sides) > 1, split(F.get(sides, F.lit(1)))).otherwise(F.array().cast("array<string>"))
-    words = F.concat(left, right)
+    rows = rows.withColumn("_s", F.split(bare, ",", 2))
+    split = lambda i: F.regexp_extract_all(F.coalesce(F.get("_s", F.lit(i)), F.lit("")), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    rows = rows.withColumn("_l", split(0)).withColumn("_r", split(1)).withColumn("_w", F.concat("_l", "_r"))
     loud = lambda w: (F.length(w) >= 3) & (F.upper(w) == w) & w.rlike(r"\p{L}")
-    return F.struct(
-        F.transform(words, lambda w: F.lower(w)).alias("words"),
-        F.transform(words, lambda w: loud(w)).alias("caps"),
-        F.when(F.size(right) > 0, F.size(left)).otherwise(F.lit(0)).alias("cut"),
-        F.when((bracket != "") & ~bracket.isin(_HON) & ~bracket.isin(_POST), F.regexp_replace(bracket, r"[^\p{L}\p{N} ]", "")).alias("alias"),
+    parts = F.struct(
+        F.transform("_w", lambda w: F.lower(w)).alias("words"),
+        F.transform("_w", loud).alias("caps"),
+        F.when(F.size("_r") > 0, F.size("_l")).otherwise(F.lit(0)).alias("cut"),
+        F.when((F.col("_b") != "") & ~F.col("_b").isin(_HON + _POST), F.col("_b")).alias("alias"),
     )
+    return rows.select(*spellings.columns, parts.alias("p"))
 
 
 def given_words(spellings: DataFrame, share: float = 0.012, least: int = 4) -> DataFrame:
@@ -171,12 +170,14 @@ def repaired_words(spellings: DataFrame, given: DataFrame) -> DataFrame:
 def person_forms(moves: DataFrame) -> tuple[DataFrame, DataFrame]:
     """((firm, name, form), (form, firm, surname, givens, known, alias, half)): spellings to forms; a form's id is its smallest move_id."""
     rows = moves.filter("person_name is not null and to_firm_id is not null and move_id is not null").select("move_id", F.col("to_firm_id").alias("firm"), F.col("person_name").alias("name"))
-    spellings = rows.groupBy("firm", "name").agg(F.min("move_id").alias("first")).withColumn("p", person_parts(F.col("name"))).filter(F.size("p.words") > 0)
-    given = given_words(spellings)
+    spellings = person_parts(rows.groupBy("firm", "name").agg(F.min("move_id").alias("first")))
+    spellings = cut_lineage(spellings.filter(F.size("p.words") > 0))
+    given = cut_lineage(given_words(spellings))
     fixes = repaired_words(spellings, given)
     vocabulary = spellings.select(F.explode("p.words").alias("word")).groupBy("word").agg(F.count("*").alias("k"))
     marks = given.select(F.col("word").alias("of"), F.lit(True).alias("is_given"))
     vocabulary = vocabulary.join(fixes, "word", "left").join(marks, F.coalesce("fixed", "word") == F.col("of"), "left").select("word", "k", "fixed", F.coalesce("is_given", F.lit(False)).alias("is_given"))
+    vocabulary = cut_lineage(vocabulary)
     placed = spellings.select("firm", "name", F.posexplode("p.words").alias("i", "word")).join(vocabulary, "word")
     marked = placed.groupBy("firm", "name").agg(F.array_sort(F.collect_list(F.struct("i", "word", "k", "fixed", "is_given"))).alias("w")).join(spellings, ["firm", "name"])
     n = F.size("w")
@@ -197,10 +198,11 @@ def person_forms(moves: DataFrame) -> tuple[DataFrame, DataFrame]:
     parse = F.struct(F.array_join(F.transform("s", lambda x: x["word"]), "").alias("surname"), F.transform("g", fixed).alias("givens"), F.transform("g", lambda x: x["is_given"]).alias("known"))
     # Spellings of the same words in any order are one form; the parse with the surest surname, then the rarest, holds.
     keyed = parsed.select("firm", "name", "first", "alias", F.array_join(F.array_sort(F.concat(F.transform("s", lambda x: x["word"]), F.transform("g", fixed))), " ").alias("words"), parse.alias("parse"), F.struct("certain", -F.array_max(F.transform("s", lambda x: x["k"])).alias("rare")).alias("sure"))
+    keyed = cut_lineage(keyed)
     key = ["firm", "words", "alias"]
     ids = keyed.groupBy(*key).agg(F.min("first").alias("form"), F.max_by("parse", F.struct("sure", "first")).alias("parse"))
     links = keyed.alias("a").join(ids.alias("b"), (F.col("a.firm") == F.col("b.firm")) & (F.col("a.words") == F.col("b.words")) & F.col("a.alias").eqNullSafe(F.col("b.alias"))).select("a.firm", "a.name", "b.form")
-    forms = ids.select("form", "firm", "alias", "parse.*")
+    forms = cut_lineage(ids.select("form", "firm", "alias", "parse.*"))
     # First given words that hardly ever stand alone (Siew Jun, Siew Ling) are half a name.
     lone = forms.filter(F.size("givens") > 0).groupBy(F.get("givens", F.lit(0)).alias("head")).agg((F.sum(F.when(F.size("givens") == 1, 1).otherwise(0)) < 0.3 * F.count("*")).alias("half"))
     return links, forms.join(lone, F.get("givens", F.lit(0)) == F.col("head"), "left").select("form", "firm", "surname", "givens", "known", "alias", F.coalesce("half", F.lit(False)).alias("half"))
@@ -317,8 +319,6 @@ def _only_fits(pairs: DataFrame, clusters: DataFrame, grade: int) -> DataFrame:
 
 def person_clusters(forms: DataFrame) -> DataFrame:
     """(form, cluster) of the forms that share their person with another form."""
-    from movelane.session import cut_lineage
-
     pairs = cut_lineage(form_pairs(forms))
     edges = pairs.filter(F.col("grade") == SURE).select("a", "b")
     for grade in (SHORT, INITIAL):
