@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from movelane.plans import general
+from movelane.plans import general, relational
 
-MODULES = [general]
-FLAGSHIP = "p1_found"
+MODULES = [general, relational]
+FLAGSHIP = "v04_practice_group_trend"
 
 
 def queries() -> dict:
