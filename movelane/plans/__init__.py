@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from movelane.plans import general, relational
+from movelane.plans import general, relational, texts
 
-MODULES = [general, relational]
+MODULES = [general, relational, texts]
 FLAGSHIP = "v04_practice_group_trend"
 
 
