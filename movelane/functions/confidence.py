@@ -53,8 +53,8 @@ def corroboration_bonus(sources: Column) -> Column:
 
 def total(tier: Column, access: Column, present: Column, spans: Column, dropped: Column, sources: Column) -> Column:
     """The score, between 0 and 1, to three decimals; arguments are the components above."""
-    factor = (_decimal(SPAN_FLOOR) + _decimal(1 - SPAN_FLOOR) * spans).cast("decimal(10,6)")
-    base = ((tier * access).cast("decimal(14,8)") * factor).cast("decimal(18,10)")
+    factor = (_decimal(SPAN_FLOOR) + _decimal(1 - SPAN_FLOOR) * spans).cast("decimal(12,8)")
+    base = ((tier * access).cast("decimal(14,8)") * factor).cast("decimal(22,14)")
     raw = base + _decimal(COMPLETENESS_BONUS) * present + corroboration_bonus(sources) - _decimal(DROPPED_PENALTY) * F.greatest(F.lit(0), dropped)
     return F.round(F.greatest(_decimal(0), F.least(_decimal(1), raw)), 3).cast("decimal(4,3)")
 

@@ -92,7 +92,7 @@ def merged_records(moves: DataFrame, components: DataFrame, tiers: DataFrame, fi
     best = [F.min_by(F.when(F.col(f).isNotNull(), F.col(f)), F.when(F.col(f).isNotNull(), rank)).alias(f) for f in fields]
     seen = [F.array_sort(F.collect_set(f)).alias(f"_{f}") for f in fields]
     out = rows.groupBy("component").agg(F.min_by("move_id", rank).alias("winner"), F.count("*").alias("members"), F.min("announced_date").alias("announced_date"), F.count_distinct("source_slug").alias("sources"), *best, *seen)
-    conflicts = [F.filter(F.col(f"_{f}"), lambda v, f=f: v != F.col(f)) for f in fields]
+    conflicts = [F.array_remove(F.col(f"_{f}"), F.col(f)) for f in fields]
     pending = F.greatest(*[F.size(F.col(f"_{f}")) for f in fields]) > 1
     return out.select("component", "winner", "members", "announced_date", "sources", *fields, F.map_from_arrays(F.array(*[F.lit(f) for f in fields]), F.array(*conflicts)).alias("conflicts"), pending.alias("pending"))
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from movelane.plans import general, relational, texts
+from movelane.plans import events, general, relational, texts, upkeep
 
-MODULES = [general, relational, texts]
+MODULES = [general, relational, texts, events, upkeep]
 FLAGSHIP = "v04_practice_group_trend"
 
 
