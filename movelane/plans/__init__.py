@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from movelane.plans import events, general, relational, texts, upkeep
+from movelane.plans import events, general, relational, streams, texts, upkeep
 
-MODULES = [general, relational, texts, events, upkeep]
+MODULES = [general, relational, texts, events, upkeep, streams]
 FLAGSHIP = "v04_practice_group_trend"
 
 
