@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +46,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(frame: DataFrame) -> DataFrame:
-    """``frame`` written to the shared folder and read again: survives the loss of executors."""
+    """``frame`` written as a table to the shared folder and read again.
+
+    It survives the loss of executors, and later plans start from the table's real size: estimates carried on through
+    the rounds of an iterative operator would multiply at every join. The table is deleted when the driver ends.
+    """
     spark = frame.sparkSession
-    folder = shared_folder(spark)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(folder)
-    return frame.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(frame.schema).parquet(path)
