@@ -38,14 +38,25 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)[\s​﻿]+", " "))
 
 
+#: From this length on, halves of a word serve as keys instead of its forms with one letter left out.
+LONG = 64
+
+
 def deletions(word: Column, least: int = 4) -> Column:
-    """The word and, from ``least`` letters on, its forms with one letter left out: words one edit apart share one."""
-    one = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.concat(F.substr(word, F.lit(1), i - 1), F.substr(word, i + 1)))
-    return F.when(F.length(word) >= least, F.array_distinct(F.concat(F.array(word), one))).otherwise(F.array(word))
+    """Keys that words one edit apart share: the word and, from ``least`` letters on, its forms with one left out.
+
+    Very long words have their first and last 32 letters as keys: one edit cannot change both. Words at the border have
+    both kinds, so that no pair is missed.
+    """
+    size = F.length(word)
+    one = F.transform(F.sequence(F.lit(1), F.least(size, F.lit(LONG + 1))), lambda i: F.concat(F.substr(word, F.lit(1), i - 1), F.substr(word, i + 1)))
+    ends = F.array(F.concat(F.lit("^"), F.substring(word, 1, LONG // 2)), F.concat(F.lit("$"), F.substr(word, size - LONG // 2 + 1)))
+    return F.when(size < least, F.array(word)).when(size < LONG, F.array_distinct(F.concat(F.array(word), one))).when(size <= LONG + 1, F.array_distinct(F.concat(F.array(word), one, ends))).otherwise(ends)
 
 
 def edits(left: Column, right: Column) -> Column:
-    """Edit distance, with words that differ by one swap of neighbours at distance 1."""
-    plain = F.levenshtein(left, right)
+    """Edit distance up to 2 (99 beyond), with words that differ by one swap of neighbours at distance 1."""
+    plain = F.levenshtein(left, right, 2)
     letters = lambda w: F.array_sort(F.split(w, ""))
-    return F.when((plain == 2) & (F.length(left) == F.length(right)) & (letters(left) == letters(right)), 1).otherwise(plain)
+    swapped = (plain == 2) & (F.length(left) == F.length(right)) & (letters(left) == letters(right))
+    return F.when(swapped, 1).when(plain < 0, 99).otherwise(plain)
