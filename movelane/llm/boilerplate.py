@@ -35,7 +35,7 @@ _BULLETS = ("-", "*", "•", "–", "·", ">", "»", "+")
 
 
 def _bucket(n: int) -> int:
-    return n if n < 4 else 4 + min(8, n.bit_length() - 2)
+    return n if n < 4 else 4 + min(4, n.bit_length() - 2)
 
 
 def _masked(word: str) -> str:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from movelane.functions.text import edits
+
 # Other names of the entries in professional use, by entry name.
 OTHER_NAMES = {
     "Mergers and Acquisitions": "M&A; mergers and acqs; public takeovers; takeovers; corporate acquisitions",
@@ -67,7 +69,7 @@ OTHER_NAMES = {
     "Special Counsel": "spec counsel; counsel special",
     "Senior Associate": "sr assoc; snr associate; sr associate",
     "General Counsel": "GC; chief legal officer; head of legal; CLO",
-    "Deputy General Counsel": "DGC; dep gen counsel; no 2 in-house lawyer; deputy GC",
+    "Deputy General Counsel": "DGC; dep gen counsel; no 2 in-house lawyer; no 2 inhouse lawyer; deputy GC",
     "Legal Director": "director legal; dir legal",
     "Consultant": "consultant solicitor; consulting lawyer",
     "Chairperson": "chair; chairman; chairwoman",
@@ -117,22 +119,18 @@ def deletions(word: Column) -> Column:
     return F.array_distinct(F.when(F.length(word) >= 4, both).otherwise(F.array(word)))
 
 
-def letter_swaps_once(left: Column, right: Column) -> Column:
-    """Edit distance in which words that differ by one swap of neighbours are at distance 1."""
-    plain = F.levenshtein(left, right)
-    sorted_ = lambda w: F.array_sort(F.split(w, ""))
-    return F.when((plain == 2) & (F.length(left) == F.length(right)) & (sorted_(left) == sorted_(right)), 1).otherwise(plain)
-
-
 def repairs(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(kind, token, term, sim): the terms of the reference vocabulary that a distinct token may stand for."""
     word = F.regexp_replace("token", r"\.$", "")
     words = words.select("kind", "token", word.alias("word")).distinct()
+    # A token longer than every term by more than the edits allowed stands for none.
+    longest = vocabulary.groupBy("kind").agg((F.max(F.length("term")) + 2).alias("longest"))
     near = (
-        words.select("kind", "token", "word", F.explode(deletions(F.col("word"))).alias("key"))
+        words.join(longest, "kind").filter(F.length("word") <= F.col("longest"))
+        .select("kind", "token", "word", F.explode(deletions(F.col("word"))).alias("key"))
         .join(vocabulary.select("kind", "term", F.explode(deletions(F.col("term"))).alias("key")), ["kind", "key"])
         .select("kind", "token", "word", "term").distinct()
-        .withColumn("d", letter_swaps_once(F.col("word"), F.col("term")))
+        .withColumn("d", edits(F.col("word"), F.col("term")))
     )
     size = F.greatest(F.length("word"), F.length("term"))
     near = near.filter((F.col("d") == 0) | ((F.col("d") == 1) & (size >= 4) & (F.least(F.length("word"), F.length("term")) >= 3)) | ((F.col("d") == 2) & (size >= 9)))
@@ -151,8 +149,9 @@ def closed_up(values: DataFrame, named: DataFrame) -> DataFrame:
     one = lambda w: F.array_distinct(F.concat(F.array(w), F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1)))))
     left = values.select("kind", "value", F.regexp_replace(F.array_join(tokens(F.col("value"), F.col("kind")), ""), r"[.']", "").alias("word")).filter(F.length("word") >= 6)
     right = named.select("kind", "ref_code", "trust", F.regexp_replace(F.array_join("terms", ""), "'", "").alias("term")).filter(F.length("term") >= 6)
-    near = left.select("kind", "value", "word", F.explode(one(F.col("word"))).alias("key")).join(right.select("kind", "ref_code", "trust", "term", F.explode(one(F.col("term"))).alias("key")), ["kind", "key"])
-    d = letter_swaps_once(F.col("word"), F.col("term"))
+    longest = right.groupBy("kind").agg((F.max(F.length("term")) + 1).alias("longest"))
+    near = left.join(longest, "kind").filter(F.length("word") <= F.col("longest")).select("kind", "value", "word", F.explode(one(F.col("word"))).alias("key")).join(right.select("kind", "ref_code", "trust", "term", F.explode(one(F.col("term"))).alias("key")), ["kind", "key"])
+    d = edits(F.col("word"), F.col("term"))
     return near.filter(d <= 1).select("kind", "value", "ref_code", (F.col("trust") * (1 - 0.8 * d / F.length("term"))).alias("score")).distinct()
 
 

@@ -235,66 +235,82 @@ def _one_edit(a: str, b: str) -> bool:
 
 
 SURE, SHORT, INITIAL = 3, 2, 1
+#: Which side of a match says less: the one that could stand for several people.
+LEFT, RIGHT = 1, 2
+NO_MATCH = (0, 0)
 
 
-def word_match(a: str, b: str, known_a: bool = False, known_b: bool = False) -> int:
-    """How two given words agree: SURE, SHORT (short form, or slip in a short word), INITIAL, or 0.
+def word_match(a: str, b: str, known_a: bool = False, known_b: bool = False) -> tuple[int, int]:
+    """(grade, weak sides) of two given words: SURE, SHORT (short form, or slip in a short word), INITIAL, or 0.
 
     Two different words that are both known as given names are no slip of each other.
     """
     if a == b:
-        return SURE
+        return SURE, 0
     if len(a) == 1 or len(b) == 1:
-        return INITIAL if a[:1] == b[:1] else 0
-    if b in _SHORT_OF.get(a, ()) or a in _SHORT_OF.get(b, ()) or _SHORT_OF.get(a, set()) & _SHORT_OF.get(b, set()):
-        return SHORT
+        return (INITIAL, LEFT if len(a) == 1 else RIGHT) if a[:1] == b[:1] else NO_MATCH
+    short_a, short_b = _SHORT_OF.get(a, set()), _SHORT_OF.get(b, set())
+    if b in short_a or a in short_b or short_a & short_b:
+        return SHORT, (LEFT if short_a else 0) | (RIGHT if short_b else 0)
     if not (known_a and known_b) and _one_edit(a, b):
-        return SURE if min(len(a), len(b)) >= 6 else SHORT
-    return 0
+        if min(len(a), len(b)) >= 6:
+            return SURE, 0
+        return SHORT, LEFT | RIGHT if known_a == known_b else RIGHT if known_a else LEFT
+    return NO_MATCH
 
 
-def given_match(a: list[str], b: list[str], known_a: list[bool], known_b: list[bool], half_a: bool, half_b: bool) -> int:
-    """Agreement of two lists of given words under the best assignment; the longer one may have extra middle names."""
+def given_match(a: list[str], b: list[str], known_a: list[bool], known_b: list[bool], half_a: bool, half_b: bool) -> tuple[int, int]:
+    """(grade, weak sides) of two lists of given words under the best assignment; the longer may have middle names."""
     if not a or not b:
-        return 0
-    if "".join(a) == "".join(b):
-        return SURE
+        return NO_MATCH
     joined, apart = "".join(a), "".join(b)
+    if joined == apart:
+        return SURE, 0
     if (len(a) == 1) != (len(b) == 1) and min(len(joined), len(apart)) >= 6 and _one_edit(joined, apart):
-        return SHORT
+        return SHORT, LEFT if len(a) == 1 else RIGHT
     if len(a) > len(b):
-        a, b, known_a, known_b, half_a, half_b = b, a, known_b, known_a, half_b, half_a
+        grade, weak = given_match(b, a, known_b, known_a, half_b, half_a)
+        return grade, (weak & LEFT and RIGHT) | (weak & RIGHT and LEFT)
     b = b[:6]
     if len(a) > 4 or (len(a) == 1 and len(a[0]) > 1 and len(b) > 1 and half_b):
-        return 0
-    best = 0
+        return NO_MATCH
+    best = NO_MATCH
     for rest in combinations(range(1, len(b)), len(a) - 1):
-        best = max(best, min(word_match(x, b[i], known_a[k], known_b[i]) for k, (x, i) in enumerate(zip(a, (0, *rest)))))
+        matches = [word_match(x, b[i], known_a[k], known_b[i]) for k, (x, i) in enumerate(zip(a, (0, *rest)))]
+        grade = min(m[0] for m in matches)
+        if grade > best[0]:
+            weak = 0
+            for m in matches:
+                weak |= m[1]
+            best = grade, weak
     return best
 
 
-def person_match(a: dict, b: dict) -> int:
-    """Agreement of two forms: 0 unless the surnames are within one edit, else that of given names and chosen names."""
+def person_match(a: dict, b: dict) -> tuple[int, int]:
+    """(grade, weak sides) of two forms: 0 unless the surnames are within one edit, else by given and chosen names."""
     sa, ga, xa, sb, gb, xb = a["surname"], a["givens"], a["alias"], b["surname"], b["givens"], b["alias"]
     if sa != sb and not (min(len(sa), len(sb)) >= 5 and _one_edit(sa, sb)):
-        return 0
-    grade = given_match(ga, gb, a["known"], b["known"], a["half"], b["half"])
-    if grade == 0:
-        for alias, givens in ((xa, gb), (xb, ga)):
-            if alias and len(givens) == 1:
-                grade = max(grade, SURE if givens[0] == alias else word_match(alias, givens[0]) == INITIAL and INITIAL)
-        if not grade and xa and xa == xb and ga[:1] == gb[:1]:
-            grade = SURE
-        for one, other in ((a, b), (b, a)):
-            if not grade and one["chosen"] and len(other["givens"]) >= 2 and not other["alias"]:
-                grade = INITIAL if max(map(len, other["givens"])) == 1 else SHORT if other["half"] else 0
-    if sa != sb and grade == SURE and max(map(len, ga), default=0) < 3:
-        grade = INITIAL
-    return grade
+        return NO_MATCH
+    match = given_match(ga, gb, a["known"], b["known"], a["half"], b["half"])
+    if not match[0]:
+        for alias, givens, side in ((xa, gb, RIGHT), (xb, ga, LEFT)):
+            if alias and len(givens) == 1 and match[0] < SURE:
+                if givens[0] == alias:
+                    match = SURE, 0
+                elif word_match(alias, givens[0])[0] == INITIAL:
+                    match = INITIAL, side
+        if not match[0] and xa and xa == xb and ga[:1] == gb[:1]:
+            match = SURE, 0
+        for one, other, side in ((a, b, LEFT), (b, a, RIGHT)):
+            if not match[0] and one["chosen"] and len(other["givens"]) >= 2 and not other["alias"]:
+                match = (INITIAL, LEFT | RIGHT) if max(map(len, other["givens"])) == 1 else (SHORT, side) if other["half"] else NO_MATCH
+    if sa != sb and match[0] == SURE and max(map(len, ga), default=0) < 3:
+        match = INITIAL, LEFT | RIGHT
+    return match
 
 
 def form_pairs(forms: DataFrame) -> DataFrame:
-    """(a, b, grade) of the forms of one firm whose surnames are within one edit and whose given names agree."""
+    """(a, b, grade, weak) of the forms of one firm whose surnames are within one edit and whose given names agree."""
     rated = forms.join(chosen_names(forms).withColumn("chosen", F.lit(True)), (F.size("givens") == 1) & (F.get("givens", F.lit(0)) == F.col("word")), "left").select("form", "firm", F.struct("surname", "givens", "known", "alias", "half", F.coalesce("chosen", F.lit(False)).alias("chosen")).alias("f"))
     keyed = rated.select("form", "firm", "f", F.explode(deletions(F.col("f.surname"), 5)).alias("key"))
     other = keyed.select(F.col("form").alias("form2"), "firm", F.col("f").alias("f2"), "key")
@@ -304,17 +320,20 @@ def form_pairs(forms: DataFrame) -> DataFrame:
         for batch in batches:
             a, b, left, right = (batch.column(i).to_pylist() for i in range(4))
             grades = list(map(person_match, left, right))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(grades, pa.int32())], ["a", "b", "grade"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([g[0] for g in grades], pa.int32()), pa.array([g[1] for g in grades], pa.int32())], ["a", "b", "grade", "weak"])
 
-    return pairs.mapInArrow(grade, "a long, b long, grade int").filter("grade > 0")
+    return pairs.mapInArrow(grade, "a long, b long, grade int, weak int").filter("grade > 0")
 
 
 def _only_fits(pairs: DataFrame, clusters: DataFrame, grade: int) -> DataFrame:
-    """Edges of forms to the one cluster that they fit at ``grade``; forms that fit more than one get none."""
-    both = pairs.filter(F.col("grade") == grade).select("a", "b").unionByName(pairs.filter(F.col("grade") == grade).select(F.col("b").alias("a"), F.col("a").alias("b")))
-    of = clusters.select(F.col("node").alias("x"), F.col("label"))
-    seen = both.join(of, F.col("b") == F.col("x"), "left").select("a", F.coalesce("label", "b").alias("to")).join(of, F.col("a") == F.col("x"), "left").select(F.coalesce("label", "a").alias("a"), "to").filter("a <> to").distinct()
-    return seen.groupBy("a").agg(F.min("to").alias("b"), F.count("*").alias("n")).filter("n = 1").select("a", "b")
+    """Edges of the pairs of ``grade`` whose weak side fits one cluster only; a weak form that fits more gets none."""
+    left, right = clusters.select(F.col("node").alias("a"), F.col("label").alias("x")), clusters.select(F.col("node").alias("b"), F.col("label").alias("y"))
+    placed = pairs.filter(F.col("grade") == grade).join(left, "a", "left").join(right, "b", "left").select(F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y"), "weak").filter("x <> y")
+    from_left, from_right = F.col("weak").isin(LEFT, LEFT | RIGHT), F.col("weak").isin(RIGHT, LEFT | RIGHT)
+    fits = placed.filter(from_left).select(F.col("x").alias("s"), F.col("y").alias("t")).unionByName(placed.filter(from_right).select(F.col("y").alias("s"), F.col("x").alias("t")))
+    settled = fits.groupBy("s").agg(F.count_distinct("t").alias("n")).filter("n = 1")
+    one, two = settled.select(F.col("s").alias("x"), F.lit(True).alias("x_ok")), settled.select(F.col("s").alias("y"), F.lit(True).alias("y_ok"))
+    return placed.join(one, "x", "left").join(two, "y", "left").filter((~from_left | F.col("x_ok").isNotNull()) & (~from_right | F.col("y_ok").isNotNull())).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
 
 
 def person_clusters(forms: DataFrame) -> DataFrame:
