@@ -27,7 +27,7 @@ def html_to_text(html: Column) -> Column:
     text = F.regexp_replace(text, f"(?is){dropped}", " ")
     text = F.regexp_replace(text, rf"(?i)</(?:{'|'.join(BLOCKS)})>|<br\s*/?>", "\n")
     text = unescape(F.regexp_replace(text, r"<[^>]+>", " "))
-    return F.trim(F.regexp_replace(F.regexp_replace(text, r"[ \t\r ]+", " "), r" ?\n[ \n]*", "\n"))
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"[ \t\r ]+", " "), r" ?\n[ \n]*", "\n"), r"^\s+|\s+$", "")
 
 
 def strip_tags(text: Column) -> Column:
@@ -52,7 +52,7 @@ def trim_tail(body: Column, markers: list[str] | None = None) -> Column:
 
 def body_of(text: Column, headline: Column) -> Column:
     """What follows the last occurrence of the headline, tail trimmed; null below MIN_BODY characters, cut at MAX_BODY."""
-    at = F.locate(F.reverse(headline), F.reverse(text))
+    at = F.instr(F.reverse(text), F.reverse(headline))
     rest = F.when((F.length(headline) > 0) & (at > 0), F.ltrim(F.substr(text, F.length(text) - at + 2))).otherwise(text)
     body = F.substring(trim_tail(rest), 1, MAX_BODY)
     return F.when(F.length(body) >= MIN_BODY, body)
