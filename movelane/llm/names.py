@@ -9,7 +9,6 @@ clusters; forms that fit several people (initials, short names) join a cluster o
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -271,19 +270,17 @@ def given_match(a: list[str], b: list[str], known_a: list[bool], known_b: list[b
     if len(a) > len(b):
         grade, weak = given_match(b, a, known_b, known_a, half_b, half_a)
         return grade, (weak & LEFT and RIGHT) | (weak & RIGHT and LEFT)
-    b = b[:6]
-    if len(a) > 4 or (len(a) == 1 and len(a[0]) > 1 and len(b) > 1 and half_b):
+    if len(a) == 1 and len(a[0]) > 1 and len(b) > 1 and half_b:
         return NO_MATCH
-    best = NO_MATCH
-    for rest in combinations(range(1, len(b)), len(a) - 1):
-        matches = [word_match(x, b[i], known_a[k], known_b[i]) for k, (x, i) in enumerate(zip(a, (0, *rest)))]
-        grade = min(m[0] for m in matches)
-        if grade > best[0]:
-            weak = 0
-            for m in matches:
-                weak |= m[1]
-            best = grade, weak
-    return best
+    # Words keep their order and the first meets the first; row i holds the best match of a[: i + 1] within b[: j + 1].
+    row = [word_match(a[0], b[0], known_a[0], known_b[0])] * len(b)
+    for i in range(1, len(a)):
+        above, row = row, [NO_MATCH] * len(b)
+        for j in range(i, len(b)):
+            one, before = word_match(a[i], b[j], known_a[i], known_b[j]), above[j - 1]
+            both = (min(one[0], before[0]), one[1] | before[1]) if one[0] and before[0] else NO_MATCH
+            row[j] = max(both, row[j - 1], key=lambda m: m[0])
+    return row[-1]
 
 
 def person_match(a: dict, b: dict) -> tuple[int, int]:
