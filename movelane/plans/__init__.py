@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from movelane.plans import events, general, relational, streams, texts, upkeep
+from movelane.plans import events, general, inventory, relational, streams, texts, upkeep
 
-MODULES = [general, relational, texts, events, upkeep, streams]
+MODULES = [general, relational, texts, events, upkeep, inventory, streams]
 FLAGSHIP = "v04_practice_group_trend"
 
 
