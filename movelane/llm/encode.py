@@ -58,6 +58,11 @@ def encode_words(words: DataFrame, path: str) -> DataFrame:
     return words.select("word").distinct().select("word", encode("word").alias("ids"))
 
 
+def _dictionary(words: DataFrame) -> DataFrame:
+    """The dictionary side of a join, to be hashed: one row per distinct word of a partition, so the corpus needn't be sorted."""
+    return words.hint("shuffle_hash")
+
+
 def encode_documents(documents: DataFrame, path: str | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, ids) of each document, without special tokens.
 
@@ -66,7 +71,7 @@ def encode_documents(documents: DataFrame, path: str | None = None, text: str =
     """
     path = path or f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
     words = _words(documents, text, key)
-    placed = words.join(encode_words(words, path), "word").select("key", "digest", F.struct("pos", "ids").alias("piece"))
+    placed = words.join(_dictionary(encode_words(words, path)), "word").select("key", "digest", F.struct("pos", "ids").alias("piece"))
     whole = placed.groupBy("key", "digest").agg(F.collect_set("piece").alias("pieces"))
     ids = whole.select(F.col("key").alias(key), F.flatten(F.transform(F.array_sort("pieces"), lambda p: p["ids"])).alias("ids"))
     empty = documents.filter(F.coalesce(F.length(text), F.lit(0)) == 0).select(key).distinct().select(key, F.array().cast("array<int>").alias("ids"))
@@ -78,7 +83,7 @@ def token_counts(documents: DataFrame, path: str | None = None, text: str = "tex
     path = path or f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
     words = documents.filter(F.length(text) > 0).select(F.col(key).alias("key"), F.explode(pre_tokens(F.col(text))).alias("word"))
     sizes = encode_words(words, path).select("word", F.size("ids").cast("long").alias("n"))
-    return words.join(sizes, "word").groupBy("key").agg(F.sum("n").alias("tokens")).withColumnRenamed("key", key)
+    return words.join(_dictionary(sizes), "word").groupBy("key").agg(F.sum("n").alias("tokens")).withColumnRenamed("key", key)
 
 
 def token_table(spark: SparkSession, path: str | None = None) -> DataFrame:
