@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from movelane.llm.encode import token_counts
+from movelane.session import cut_lineage
 
 #: Documents per hash range; the number of ranges follows the corpus.
 RANGE_ROWS = 20_000
@@ -68,9 +69,9 @@ def demands(sized: DataFrame, targets: DataFrame, strength: float = 1.0) -> Data
 
 
 def sized_documents(documents: DataFrame, path: str | None = None) -> DataFrame:
-    """(source, doc_id, tokens) of the documents that have a source and at least one token."""
+    """(source, doc_id, tokens) of the documents that have a source and at least one token, written once for all uses."""
     texts = documents.filter("source is not null and doc_id is not null").select("doc_id", "source", "text").dropDuplicates(["doc_id"])
-    return texts.select("doc_id", "source").join(token_counts(texts, path), "doc_id").select("source", "doc_id", "tokens")
+    return cut_lineage(texts.select("doc_id", "source").join(token_counts(texts, path), "doc_id").select("source", "doc_id", "tokens"))
 
 
 def assign_positions(sized: DataFrame, targets: DataFrame, strength: float = 1.0) -> DataFrame:
