@@ -1,6 +1,6 @@
 """Training of the page model on labelled pages: ``python -m movelane.llm.boilerplate_training PAGES.parquet``.
 
-The labels follow the annotation guide below, written and reviewed line by line over the pages of the smallest scales;
+The labels follow the annotation guide below, written from the commonest shapes of lines and a look through pages;
 a page counts only if every one of its lines has a label. At most MAX_PAGES pages are used, whatever the table holds.
 """
 
