@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from movelane.functions.text import edits
+from movelane.session import cut_lineage
 
 # Other names of the entries in professional use, by entry name.
 OTHER_NAMES = {
@@ -158,21 +159,22 @@ def closed_up(values: DataFrame, named: DataFrame) -> DataFrame:
 def rank_entries(values: DataFrame, ref_values: DataFrame, other_names: dict[str, str] | None = None) -> DataFrame:
     """(kind, value, ref_code, score): the best entry of each distinct (kind, value); ties go to the smaller code."""
     named = surfaces(ref_values, other_names).select("kind", "ref_code", "surface", "trust", F.transform(tokens(normal(F.col("surface")), F.col("kind")), lambda t: F.regexp_replace(t, r"\.$", "")).alias("terms"))
+    named = cut_lineage(named)
     terms = named.select("kind", "ref_code", "surface", "trust", F.explode("terms").alias("term"))
     entries = named.groupBy("kind").agg(F.count_distinct("ref_code").alias("entries"))
     idf = terms.groupBy("kind", "term").agg(F.count_distinct("ref_code").alias("df")).join(entries, "kind").select("kind", "term", F.log1p(F.col("entries") / F.col("df")).alias("w"))
     weighed = terms.join(idf, ["kind", "term"])
     norms = weighed.groupBy("kind", "ref_code", "surface").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("surface_norm"))
-    weighed = weighed.join(norms, ["kind", "ref_code", "surface"])
+    weighed, idf = cut_lineage(weighed.join(norms, ["kind", "ref_code", "surface"])), cut_lineage(idf)
 
-    words = values.select("kind", "value", F.explode(tokens(F.col("value"), F.col("kind"))).alias("token"))
-    fixed = repairs(words, idf.select("kind", "term"))
+    words = cut_lineage(values.select("kind", "value", F.explode(tokens(F.col("value"), F.col("kind"))).alias("token")))
+    fixed = cut_lineage(repairs(words, idf.select("kind", "term")))
     # A part in brackets or after a dash of which the vocabulary knows nothing (a place, a remark) is no part of the value.
     aside = F.regexp_extract("value", r"(?:\(([^()]*)\)|\s[-–—]\s(.+))$", 0)
     asides = values.select("kind", "value", F.explode(tokens(aside, F.col("kind"))).alias("token"))
     known_asides = asides.join(fixed.select("kind", "token").distinct(), ["kind", "token"], "left_semi").select("kind", "value").distinct()
     strange = asides.join(known_asides, ["kind", "value"], "left_anti")
-    words = words.join(strange, ["kind", "value", "token"], "left_anti")
+    words = cut_lineage(words.join(strange, ["kind", "value", "token"], "left_anti"))
 
     weights = fixed.join(idf, ["kind", "term"])
     own = weights.groupBy("kind", "token").agg(F.max_by("w", "sim").alias("own"))
@@ -196,5 +198,5 @@ def map_values(roles: DataFrame, ref_values: DataFrame, accept: float = ACCEPT,
     """
     parts = roles.select("role_id", F.explode(F.map_from_arrays(F.array(F.lit("title"), F.lit("practice")), F.array("title", "practice"))).alias("kind", "raw"))
     parts = parts.filter(F.col("raw").rlike(r"(?U)\S")).select("role_id", "kind", normal(F.col("raw")).alias("value"))
-    best = rank_entries(parts.select("kind", "value").distinct(), ref_values, other_names).filter(F.col("score") >= accept)
+    best = rank_entries(cut_lineage(parts.select("kind", "value").distinct()), ref_values, other_names).filter(F.col("score") >= accept)
     return parts.join(best, ["kind", "value"], "left").select("role_id", F.col("kind").alias("part"), F.coalesce("ref_code", F.lit("unmatched")).alias("ref_code"))
