@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from movelane.session import cut_lineage
 
-JUMPS = 3
+JUMPS = 2
 
 
 def decided_edges(pairs: DataFrame, threshold: float = 0.85) -> DataFrame:
@@ -53,7 +53,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     for _ in range(max_rounds):
         if edges.isEmpty():
             break
-        pointers = _pointers(edges)
+        # Written before the jumps too: each joins the pointers with themselves, which would double what they come from.
+        pointers = cut_lineage(_pointers(edges))
         for _ in range(JUMPS):
             pointers = _jump(pointers)
         pointers = cut_lineage(pointers)
@@ -73,6 +74,15 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     return labels
 
 
+def refine(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` after further ``edges`` (a, b) between labels, or between nodes that have none yet."""
+    merged = cut_lineage(connected_components(edges))
+    onward = merged.select(F.col("node").alias("label"), F.col("label").alias("next"))
+    known = labels.join(onward, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
+    fresh = merged.join(labels.select("node"), "node", "left_anti")
+    return cut_lineage(known.unionByName(fresh))
+
+
 def move_groups(pairs: DataFrame, threshold: float = 0.85) -> DataFrame:
     """(move_id, group_id) of every move with a link; group_id is the smallest move_id of its group."""
     return connected_components(decided_edges(pairs, threshold)).select(F.col("node").alias("move_id"), F.col("label").alias("group_id"))

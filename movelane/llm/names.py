@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from movelane.functions.text import deletions, edits, fold_accents, squeeze
-from movelane.llm.components import connected_components
+from movelane.llm.components import connected_components, refine
 from movelane.session import cut_lineage
 
 # Legal forms and other words around an organisation's own name, longest first.
@@ -108,14 +108,14 @@ def firm_clusters(firms: DataFrame) -> DataFrame:
     edges = cut_lineage(same.unionByName(typed).filter("a <> b"))
 
     # Initials: an entry known by them only joins the one organisation that they fit and that nothing contradicts.
-    sure = connected_components(edges)
+    sure = cut_lineage(connected_components(edges))
     member = forms.join(sure.withColumnRenamed("node", "firm_id"), "firm_id", "left").select("firm_id", "hq", "kind", "core", F.coalesce("label", "firm_id").alias("cluster"))
     lone = base.filter(is_short(F.col("core"))).join(forms.select("firm_id").distinct(), "firm_id", "left_anti").select("firm_id", "hq", "kind", F.array_join("core", " ").alias("key"))
     full = member.select("cluster", "hq", "kind", F.explode(short_keys(F.col("core"))).alias("key")).distinct()
     fits = lone.alias("a").join(full.alias("b"), "key").filter(_compatible("a", "b")).select(F.col("a.firm_id").alias("a"), F.col("b.cluster").alias("b")).distinct()
     only = fits.groupBy("a").agg(F.min("b").alias("b"), F.count("*").alias("n")).filter("n = 1").select("a", "b")
     alike = lone.groupBy("key", "hq", "kind").agg(F.collect_set("firm_id").alias("ids")).select(F.explode("ids").alias("a"), F.array_min("ids").alias("b"))
-    found = connected_components(edges.unionByName(only).unionByName(alike))
+    found = refine(sure, only.unionByName(alike).filter("a <> b"))
     return found.select(F.col("node").alias("firm_id"), F.col("label").alias("cluster"))
 
 
@@ -336,11 +336,10 @@ def _only_fits(pairs: DataFrame, clusters: DataFrame, grade: int) -> DataFrame:
 def person_clusters(forms: DataFrame) -> DataFrame:
     """(form, cluster) of the forms that share their person with another form."""
     pairs = cut_lineage(form_pairs(forms))
-    edges = pairs.filter(F.col("grade") == SURE).select("a", "b")
+    clusters = cut_lineage(connected_components(pairs.filter(F.col("grade") == SURE).select("a", "b")))
     for grade in (SHORT, INITIAL):
-        clusters = connected_components(edges)
-        edges = edges.unionByName(_only_fits(pairs, clusters, grade))
-    return connected_components(edges).select(F.col("node").alias("form"), F.col("label").alias("cluster"))
+        clusters = refine(clusters, _only_fits(pairs, clusters, grade))
+    return clusters.select(F.col("node").alias("form"), F.col("label").alias("cluster"))
 
 
 def linked_firms(firms: DataFrame) -> DataFrame:
