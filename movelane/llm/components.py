@@ -2,8 +2,8 @@
 
 State per round is the set of edges between labels. Every endpoint takes the smallest label among itself and its
 neighbours (a partial aggregation, so a hub with millions of edges is combined before the shuffle), the resulting
-pointers are jumped ``JUMPS`` times, and the edges are rewritten to the new labels with loops and repeats dropped. The
-rounds end when no label changes, that is when no edge is left. Edges shrink geometrically, so the pointer tables of
+pointers are jumped until each points to a root, and the edges are rewritten to these labels with loops and repeats
+dropped. The rounds end when no label changes, that is when no edge is left. Edges shrink geometrically, so the pointer tables of
 all rounds together are about the size of the first; composing them from the last to the first gives the final labels.
 """
 
@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from movelane.session import cut_lineage
 
-JUMPS = 2
-
 
 def decided_edges(pairs: DataFrame, threshold: float = 0.85) -> DataFrame:
     """(a, b) with a < b for each unordered pair of different moves whose last outcome links them.
@@ -39,8 +37,22 @@ def _pointers(edges: DataFrame) -> DataFrame:
 
 
 def _jump(pointers: DataFrame) -> DataFrame:
+    """(node, label, moved): every pointer follows the pointer of what it points to."""
     onward = pointers.select(F.col("node").alias("label"), F.col("label").alias("next"))
-    return pointers.join(onward, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
+    return pointers.select("node", "label").join(onward, "label", "left").select("node", F.coalesce("next", "label").alias("label"), (F.col("next") < F.col("label")).alias("moved"))
+
+
+def _roots(pointers: DataFrame) -> DataFrame:
+    """``pointers`` jumped until none moves: every node points to the root of its tree.
+
+    A jump doubles the reach, so a path of n pointers takes log n of them; half-jumped labels would only shift a long
+    chain along itself. Written before each pair of jumps, since a join with itself doubles what a table comes from.
+    """
+    pointers = cut_lineage(pointers)
+    while True:
+        pointers = cut_lineage(_jump(_jump(pointers)))
+        if pointers.filter("moved").isEmpty():
+            return pointers.select("node", "label")
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
@@ -53,11 +65,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     for _ in range(max_rounds):
         if edges.isEmpty():
             break
-        # Written before the jumps too: each joins the pointers with themselves, which would double what they come from.
-        pointers = cut_lineage(_pointers(edges))
-        for _ in range(JUMPS):
-            pointers = _jump(pointers)
-        pointers = cut_lineage(pointers)
+        pointers = _roots(_pointers(edges))
         tables.append(pointers)
         left = pointers.select(F.col("node").alias("a"), F.col("label").alias("x"))
         right = pointers.select(F.col("node").alias("b"), F.col("label").alias("y"))

@@ -22,14 +22,14 @@ def brute(edges):
     return {x: find(x) for x in parent}
 
 
-@pytest.mark.parametrize("kind", ["chain", "shuffled chain", "star", "random", "repeats"])
+@pytest.mark.parametrize("kind", ["chain", "long chain", "shuffled chain", "star", "random", "repeats"])
 def test_components_match_union_find(spark, kind):
     rng = random.Random(kind)
     ids = list(range(1, 200))
     if kind == "shuffled chain":
         rng.shuffle(ids)
     edges = {
-        "chain": list(zip(ids, ids[1:])), "shuffled chain": list(zip(ids, ids[1:])), "star": [(7, x) for x in range(100, 400)],
+        "chain": list(zip(ids, ids[1:])), "long chain": [(i, i + 1) for i in range(4000)], "shuffled chain": list(zip(ids, ids[1:])), "star": [(7, x) for x in range(100, 400)],
         "random": [(rng.randrange(300), rng.randrange(300)) for _ in range(220)], "repeats": [(3, 4), (4, 3), (3, 4), (5, 5)],
     }[kind]
     got = {r.node: r.label for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
