@@ -78,6 +78,8 @@ def block_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         labels = after.select("x", F.col("next").alias("label"))
         if not changed:
             break
+    else:
+        raise RuntimeError(f"components still change after {rounds} rounds")
     return labels.select(F.col("x").alias("move_id"), F.col("label").alias("component"))
 
 
