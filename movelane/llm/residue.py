@@ -79,8 +79,26 @@ def _pattern(text: str) -> str:
     return "".join(text.replace("\\ ", "\x00").split()).replace("\x00", " ")
 
 
+def _scan(pattern: str) -> str:
+    """The alternatives of a pattern regrouped so that what many begin with, a line or a word, is tested once."""
+    parts, depth, at = [""], 0, 0
+    while at < len(pattern):
+        step = pattern[at : at + 2] if pattern[at] == "\\" else pattern[at]
+        depth += (step in ("(", "[")) - (step in (")", "]"))
+        if step == "|" and depth == 0:
+            parts.append("")
+        else:
+            parts[-1] += step
+        at += len(step)
+    line, word = r"^\W*", r"\b"
+    lines = [p[len(line) :] for p in parts if p.startswith(line)]
+    words = [p.removeprefix(word) for p in parts if p.startswith(word) or (p[0].isascii() and p[0].isalpha())]
+    rest = [p for p in parts if not p.startswith((line, word)) and not (p[0].isascii() and p[0].isalpha())]
+    return "|".join([f"{line}(?:{'|'.join(lines)})", rf"\b(?=[a-z])(?:{'|'.join(words)})", *rest])
+
+
 _FILLER, _ERROR, _SCRIPT, _FURNITURE = map(_pattern, (FILLER, ERROR, SCRIPT, FURNITURE))
-_CUE = f"(?m)(?:{_ERROR}|{_SCRIPT})"
+_CUE = f"(?m)(?:{_scan(_ERROR + '|' + _SCRIPT)})"
 _NO_CONTENT = f"(?m)^(?=.*?(?:{_ERROR}|{_SCRIPT}|{_FURNITURE})).*$"
 _HEADINGS = r"^\s*(?:[^\n]{1,250}[^\n.!?。！？\"”»]\n+){1,2}(?=\S)"
 #: A notice stands in place of content if content is at most this share of the text's characters.
