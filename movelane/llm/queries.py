@@ -43,4 +43,19 @@ def p10_found(spark, root):
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p3_found, p4_found, p6_found, p7_found, p8_ids, p9_positions, p9_shares, p10_found)}
-SQL: dict[str, str] = {}
+_MISSING = ", ".join("'" + m + "'" for m in survivor.MISSING)
+SQL: dict[str, str] = {
+    "p2_found": """
+        WITH RECURSIVE d AS (SELECT least(left_move_id, right_move_id) AS a, greatest(left_move_id, right_move_id) AS b, decision, total,
+            row_number() OVER (PARTITION BY least(left_move_id, right_move_id), greatest(left_move_id, right_move_id) ORDER BY scored_at DESC NULLS LAST, total DESC NULLS LAST, decision DESC NULLS LAST) AS n
+            FROM pair_scores WHERE left_move_id <> right_move_id),
+        e AS (SELECT a, b FROM d WHERE n = 1 AND CASE WHEN decision IS NOT NULL THEN lower(trim(decision)) = 'merge' ELSE total >= 0.85 END),
+        ed AS (SELECT a AS x, b AS y FROM e UNION SELECT b, a FROM e),
+        rc AS (SELECT x, x AS y FROM ed UNION SELECT rc.x, ed.y FROM rc JOIN ed ON ed.x = rc.y)
+        SELECT x AS move_id, min(y) AS group_id FROM rc GROUP BY x""",
+    "p6_found": f"""
+        WITH s AS (SELECT slug, tier FROM (SELECT config.slug AS slug, config.reliability_tier AS tier, row_number() OVER (PARTITION BY config.slug ORDER BY register_version DESC) AS n FROM sources) WHERE n = 1),
+        f AS (SELECT group_ref, move_id, source_slug, extracted_at, CASE WHEN self_confidence > 1 THEN self_confidence / 100 ELSE self_confidence END AS c, unnest(map_entries(fields)) AS e FROM extracted_moves WHERE group_ref IS NOT NULL),
+        v AS (SELECT f.*, s.tier FROM f LEFT JOIN s ON s.slug = f.source_slug WHERE regexp_matches(f.e.value.value, '[\\p{{L}}\\p{{N}}]') AND lower(trim(f.e.value.value)) NOT IN ({_MISSING}) AND coalesce(f.e.value.quality, '') <> 'dropped')
+        SELECT group_ref, field_name, move_id FROM (SELECT group_ref, e.key AS field_name, move_id, row_number() OVER (PARTITION BY group_ref, e.key ORDER BY tier NULLS LAST, c DESC NULLS LAST, extracted_at DESC, move_id) AS n FROM v) WHERE n = 1""",
+}
