@@ -20,10 +20,13 @@ GIVEN = {"shared": 10000, "unknown": 5000, "equal": 10000, "first": 9000, "initi
 
 
 def candidates(moves: DataFrame) -> DataFrame:
-    """``moves`` that can be compared: with a name, destination and date, and their name keys."""
+    """The moves that can be compared, with a name, destination and date: what scoring needs of them, and their name keys."""
     rows = moves.filter("to_firm_id is not null and announced_date is not null and person_name is not null")
     keyed = with_name_keys(rows, "person_name").filter("surname_key <> ''")
-    return keyed.withColumn("alias_key", F.lower(F.regexp_replace(bracketed_alias(F.col("person_name")), r"[\s-]+", "")))
+    alias = F.lower(F.regexp_replace(bracketed_alias(F.col("person_name")), r"[\s-]+", ""))
+    keys = F.filter(F.array("given_key", alias), lambda k: k.isNotNull())
+    first = F.get("given_tokens", F.lit(0))
+    return keyed.select("move_id", "to_firm_id", "announced_date", F.lower("from_firm").alias("from_firm"), F.lower("office").alias("office"), F.lower("title_to").alias("title_to"), "surname_key", "given_key", first.alias("first"), keys.alias("keys"))
 
 
 def candidate_pairs(keyed: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
@@ -46,17 +49,15 @@ def score_pairs(pairs: DataFrame) -> DataFrame:
     Given names that disagree end a pair; a missing one is for a person to judge. A field that one side leaves out is
     no conflict. Totals are cut to 0..1.
     """
-    ga, gb = F.col("given_tokens_a"), F.col("given_tokens_b")
-    keys = lambda s: F.filter(F.array(f"given_key_{s}", f"alias_key_{s}"), lambda k: k.isNotNull())
-    first_a, first_b = F.get(ga, F.lit(0)), F.get(gb, F.lit(0))
+    first_a, first_b = F.col("first_a"), F.col("first_b")
     initial = ((F.length(first_a) == 1) & first_b.startswith(first_a)) | ((F.length(first_b) == 1) & first_a.startswith(first_b))
     label = (
-        F.when(F.arrays_overlap(keys("a"), keys("b")), "shared").when(F.col("given_key_a").isNull() | F.col("given_key_b").isNull(), "unknown")
+        F.when(F.arrays_overlap("keys_a", "keys_b"), "shared").when(F.col("given_key_a").isNull() | F.col("given_key_b").isNull(), "unknown")
         .when(first_a == first_b, "first").when(initial, "initial").otherwise("disagree")
     )
     rows = pairs.withColumn("given_label", label)
     points = F.element_at(F.create_map(*[F.lit(x) for kv in GIVEN.items() for x in kv]), F.col("given_label"))
-    agree = lambda c, w: F.when(F.col(f"{c}_a").isNull() | F.col(f"{c}_b").isNull(), 0).when(F.lower(f"{c}_a") == F.lower(f"{c}_b"), w[0]).otherwise(w[1])
+    agree = lambda c, w: F.when(F.col(f"{c}_a").isNull() | F.col(f"{c}_b").isNull(), 0).when(F.col(f"{c}_a") == F.col(f"{c}_b"), w[0]).otherwise(w[1])
     near = F.round(F.lit(NEAR) * (1 - F.col("days_apart") / WINDOW_DAYS)).cast("int")
     raw = F.round(points * BASE / 10000).cast("int") + agree("from_firm", ORIGIN) + agree("office", OFFICE) + agree("title_to", TITLE) + F.greatest(F.lit(0), near)
     total = F.when(F.col("given_label") == "disagree", 0).when(F.col("given_label") == "unknown", BASE // 2).otherwise(F.greatest(F.lit(0), F.least(F.lit(10000), raw)))
