@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from movelane.functions import gazetteer, html, names, spans, taxonomy
 from movelane.functions.text import fold_accents
-from movelane.operators import bindings, gate
+from movelane.operators import bindings, extraction, gate
 from movelane.operators.bindings import MOVES_SQL, SOURCES_SQL, with_sql
 from movelane.plans.registry import Registry
 from movelane.plans.relational import NORMAL_SQL
@@ -225,6 +225,32 @@ def t22_classify_by_evidence(spark, root):
     return taxonomy.classify_by_evidence(rows, practice_index(spark, root), "move_id", {"stated": "practice_text", "headline": "headline"})
 
 
+def _about_sql(body: str) -> str:
+    has = lambda x: "contains(' ' || " + NORMAL_SQL.format(x=x) + " || ' ', ' ' || " + NORMAL_SQL.format(x="nm.sur") + " || ' ')"
+    cut = rf"regexp_split_to_array(regexp_replace({body}, '([.!?])\s+(\p{{Lu}})', '\1' || chr(10) || '\2', 'g'), '\n+')"
+    bare = r"regexp_replace(regexp_replace({x}, '[''’]s([^\p{{L}}\p{{N}}]|$)', '\1', 'g'), '[''’`]', '', 'g')"
+    return "CASE WHEN " + NORMAL_SQL.format(x="nm.sur") + f" <> '' THEN array_to_string(list_filter({cut}, lambda s: {has('s')} OR {has(bare.format(x='s'))}), ' ') END"
+
+
+@query(
+    with_sql(
+        _PRACTICE_SQL, MOVES_SQL, NAMES_SQL,
+        "tv AS (SELECT mv.move_id, mv.practice_text, i.headline, " + _about_sql("i.body_text") + " AS about FROM mv LEFT JOIN raw_items i ON i.item_id = mv.item_id LEFT JOIN nm ON nm.person_name = mv.person_name)",
+        _classify_sql("c1", "tv", "move_id", "practice_text"), _classify_sql("c2", "tv", "move_id", "headline"), _classify_sql("c3", "tv", "move_id", "about"),
+    )
+    + "SELECT c1.move_id, CASE WHEN c1.code <> 'unclassified' THEN c1.code WHEN c2.code <> 'unclassified' THEN c2.code ELSE c3.code END AS code, "
+    "CASE WHEN c1.code <> 'unclassified' THEN 'stated:' || c1.rule_key WHEN c2.code <> 'unclassified' THEN 'headline:' || c2.rule_key WHEN c3.code <> 'unclassified' THEN 'body:' || c3.rule_key ELSE 'no_mapping_matched' END AS rule_key, "
+    "CASE WHEN c1.code <> 'unclassified' THEN c1.confidence WHEN c2.code <> 'unclassified' THEN CAST(round(c2.confidence * 0.75 + 0.0000001, 3) AS DECIMAL(4,3)) ELSE CAST(round(c3.confidence * 0.60 + 0.0000001, 3) AS DECIMAL(4,3)) END AS confidence "
+    "FROM c1 JOIN c2 ON c2.move_id = c1.move_id JOIN c3 ON c3.move_id = c1.move_id"
+)
+def t22_classify_with_body(spark, root):
+    """The whole chain: stated, headline, then the sentences of the body about the person."""
+    people = names.with_name_keys(bindings.moves(spark, root).select("move_id", "item_id", "person_name", "practice_text"), "person_name")
+    rows = people.join(table(spark, root, "raw_items").select("item_id", "headline", "body_text"), "item_id", "left")
+    rows = rows.withColumn("about", extraction.sentences_about(F.array_join("surname_tokens", " "), F.col("body_text"))).select("move_id", "practice_text", "headline", "about")
+    return taxonomy.classify_by_evidence(rows, practice_index(spark, root), "move_id", {"stated": "practice_text", "headline": "headline", "body": "about"})
+
+
 @query()
 def t24_role_parse(spark, root):
     return spans.parse_roles(table(spark, root, "role_parts"), "role_id", F.concat_ws(" in ", "title", "practice"))
