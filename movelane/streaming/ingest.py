@@ -36,6 +36,43 @@ def counts_per_window(items: DataFrame, at: str, window: str, *keys: str, latene
     return items.withWatermark(at, lateness).groupBy(F.window(at, window), *keys).agg(F.count("*").alias("items"))
 
 
+def open_counts(items: DataFrame, at: str, window: str, *keys: str) -> DataFrame:
+    """Items per tumbling window and keys so far, open windows too: to be written in update mode and merged.
+
+    No row is too late, so the state grows with the windows and keys, not with the rows.
+    """
+    return items.groupBy(F.window(at, window), *keys).agg(F.count("*").alias("items"))
+
+
+def upsert_into(spark: SparkSession, folder: str, keys: list[str]):
+    """A foreachBatch sink that keeps the newest row per ``keys``; each batch writes the whole table anew under its number.
+
+    A batch starts from the newest table before its number, so running it again gives the same table. ``latest`` finds it.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        before = latest(spark, folder, number)
+        if before is None:
+            merged = batch
+        else:
+            held = spark.read.schema(batch.schema).parquet(before)
+            same = [held[k].eqNullSafe(batch[k]) for k in keys]
+            merged = held.join(batch, same, "left_anti").unionByName(batch)
+        merged.write.mode("overwrite").parquet(f"{folder}/{number}")
+
+    return write
+
+
+def latest(spark: SparkSession, folder: str, before: int = 2**62) -> str | None:
+    """The folder of the newest complete table that ``upsert_into`` has written, null if there is none."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return None
+    done = [int(n) for n in (f.getPath().getName() for f in files.listStatus(path)) if n.isdigit() and int(n) < before and files.exists(path.suffix(f"/{n}/_SUCCESS"))]
+    return f"{folder}/{max(done)}" if done else None
+
+
 def empty_streaks(polls: DataFrame) -> DataFrame:
     """(source, at, streak) per poll (source, at, new_items): how many polls in a row have brought nothing."""
 
