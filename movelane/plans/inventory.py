@@ -93,6 +93,12 @@ def o04_longest_first(spark, root):
     return rows.orderBy(F.desc(F.length("surface")), "surface").limit(20)
 
 
+@query("SELECT s.surface FROM (SELECT DISTINCT " + NORMAL_SQL.format(x="canonical_name") + " AS surface FROM firms) s ORDER BY length(s.surface) DESC, s.surface")
+def o04_longest_first_all(spark, root):
+    rows = table(spark, root, "firms").select(gazetteer.normal(F.col("canonical_name")).alias("surface")).distinct()
+    return rows.orderBy(F.desc(F.length("surface")), "surface")
+
+
 @query("SELECT person_name, min(move_id) AS move_id FROM extracted_moves GROUP BY person_name")
 def o05_first_match(spark, root):
     return table(spark, root, "extracted_moves").groupBy("person_name").agg(F.min("move_id").alias("move_id"))

@@ -218,6 +218,11 @@ def o02_nulls_first(spark, root):
     return table(spark, root, "extracted_moves").select("move_id", "source_slug").orderBy(F.asc_nulls_first("source_slug"), "move_id").limit(40)
 
 
+@query("SELECT move_id, source_slug FROM extracted_moves ORDER BY source_slug NULLS FIRST, move_id")
+def o02_nulls_first_all(spark, root):
+    return table(spark, root, "extracted_moves").select("move_id", "source_slug").orderBy(F.asc_nulls_first("source_slug"), "move_id")
+
+
 @query("SELECT to_firm_id, announced_date, move_id FROM extracted_moves ORDER BY 1, 2, 3")
 def o03_multi_key_sort(spark, root):
     return table(spark, root, "extracted_moves").select("to_firm_id", "announced_date", "move_id").orderBy("to_firm_id", "announced_date", "move_id")

@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from movelane import plans
+from movelane.functions import gazetteer
 from movelane.session import table
 from movelane.streaming import ingest
 
@@ -49,3 +50,11 @@ def test_windows_over_several_batches(spark, tmp_path):
     counts.writeStream.foreachBatch(sink).option("checkpointLocation", f"{tmp_path}/state").outputMode("update").trigger(availableNow=True).start().awaitTermination()
     expected = frame.groupBy(F.window("at", "7 days"), "k").agg(F.count("*").alias("items")).select("window.start", "k", "items")
     assert sorted(spark.read.parquet(ingest.latest(spark, f"{tmp_path}/out")).collect(), key=str) == sorted(expected.collect(), key=str)
+
+
+def test_sorts_have_all_rows_in_order(spark, small):
+    moves = [(r.source_slug, r.move_id) for r in table(spark, small, "extracted_moves").select("source_slug", "move_id").collect()]
+    got = [(r.source_slug, r.move_id) for r in plans.queries()["o02_nulls_first_all"](spark, small).collect()]
+    assert got == sorted(moves, key=lambda x: (x[0] is not None, x[0] or "", x[1])) and len(got) > 40
+    surfaces = [r.surface for r in plans.queries()["o04_longest_first_all"](spark, small).collect()]
+    assert surfaces == sorted({r.s for r in table(spark, small, "firms").select(gazetteer.normal(F.col("canonical_name")).alias("s")).collect()}, key=lambda s: (-len(s), s)) and len(surfaces) > 20
