@@ -10,6 +10,9 @@ Each choice is a ``min_by`` over a struct: partial aggregation, no window, no so
 
 from __future__ import annotations
 
+from collections import defaultdict
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,11 +64,46 @@ def transitions(stated: DataFrame) -> DataFrame:
     return net.select("field_name", F.when(F.col("n") > 0, F.col("x")).otherwise(F.col("y")).alias("older"), F.when(F.col("n") > 0, F.col("y")).otherwise(F.col("x")).alias("newer"), F.abs("n").alias("weight"))
 
 
-def currency_ranks(values: DataFrame, precedence: DataFrame, rounds: int = 3) -> DataFrame:
+def chain_depths(edges: list[tuple[str, str]]) -> dict[str, int]:
+    """The longest chain of (older, newer) that ends in each value; the values of one cycle count as one and tie."""
+    after, before = defaultdict(list), defaultdict(list)
+    for older, newer in edges:
+        after[older].append(newer)
+        before[newer].append(older)
+    # Kosaraju, without recursion: by falling time of finish, components come in topological order.
+    finished, seen = [], set()
+    for root in sorted({*after, *before}):
+        stack = [] if root in seen else [(root, iter(after[root]))]
+        seen.add(root)
+        while stack:
+            value, following = stack[-1]
+            step = next((x for x in following if x not in seen), None)
+            if step is None:
+                finished.append(stack.pop()[0])
+            else:
+                seen.add(step)
+                stack.append((step, iter(after[step])))
+    depth: dict[str, int] = {}
+    for root in reversed(finished):
+        if root in depth:
+            continue
+        members, todo = {root}, [root]
+        while todo:
+            for x in before[todo.pop()]:
+                if x not in depth and x not in members:
+                    members.add(x)
+                    todo.append(x)
+        level = max((depth[x] + 1 for m in members for x in before[m] if x not in members), default=0)
+        depth |= dict.fromkeys(members, level)
+    return depth
+
+
+def currency_ranks(values: DataFrame, precedence: DataFrame) -> DataFrame:
     """(group_ref, field_name, value, depth): the longest chain of learned precedences that ends in ``value``.
 
-    Only values that meet in a group take part, so depth 0 is a value that nothing in its group precedes. A cycle keeps
-    growing until ``rounds`` and stays a tie, settled by the caller's next key.
+    Only values that meet in a group take part, so depth 0 is a value that nothing in its group precedes. Chains may be of
+    any length; the values of a cycle stay a tie, settled by the caller's next key. The order is sequential, so the
+    edges of one group and field are walked in Python.
     """
     values = values.select("group_ref", "field_name", "value").distinct()
     edges = (
@@ -74,12 +112,13 @@ def currency_ranks(values: DataFrame, precedence: DataFrame, rounds: int = 3) ->
         .join(values.withColumnRenamed("value", "older"), ["group_ref", "field_name", "older"])
         .select("group_ref", "field_name", "older", "newer")
     )
-    depth = values.withColumn("depth", F.lit(0))
-    for _ in range(rounds):
-        before = depth.withColumnRenamed("value", "older")
-        reach = edges.join(before, ["group_ref", "field_name", "older"]).groupBy("group_ref", "field_name", F.col("newer").alias("value")).agg((F.max("depth") + 1).alias("longer"))
-        depth = depth.join(reach, ["group_ref", "field_name", "value"], "left").select("group_ref", "field_name", "value", F.greatest("depth", F.coalesce("longer", F.lit(0))).alias("depth"))
-    return depth
+
+    def walk(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        depth = chain_depths(list(zip(part["older"], part["newer"])))
+        return pd.DataFrame({"group_ref": key[0], "field_name": key[1], "value": list(depth), "depth": list(depth.values())})
+
+    depth = edges.groupBy("group_ref", "field_name").applyInPandas(walk, "group_ref long, field_name string, value string, depth int")
+    return values.join(depth, ["group_ref", "field_name", "value"], "left").withColumn("depth", F.coalesce("depth", F.lit(0)))
 
 
 def surviving_values(moves: DataFrame, sources: DataFrame) -> DataFrame:
