@@ -259,7 +259,7 @@ def word_match(a: str, b: str, known_a: bool = False, known_b: bool = False) ->
 
 
 def given_match(a: list[str], b: list[str], known_a: list[bool], known_b: list[bool], half_a: bool, half_b: bool) -> tuple[int, int]:
-    """(grade, weak sides) of two lists of given words under the best assignment; the longer may have middle names."""
+    """(grade, weak sides) of two lists of given words under the best assignment in order, first to first; the longer may have middle names."""
     if not a or not b:
         return NO_MATCH
     joined, apart = "".join(a), "".join(b)
