@@ -1,7 +1,8 @@
 """Dictionary-in-text lookup by equi-join of word runs, leftmost first and longest at each place.
 
-Texts and surfaces are normalised alike; every run of up to ``longest`` words of a text is a row that meets the
-dictionary in a hash join, so the dictionary may have millions of surfaces and is never compiled into one pattern.
+Texts and surfaces are normalised alike; every run of a text that has as many words as some surface of the dictionary
+is a row that meets it in a hash join, so surfaces may be of any length and the dictionary may have millions of them:
+it is never compiled into one pattern.
 """
 
 from __future__ import annotations
@@ -33,21 +34,28 @@ def surface_index(names: DataFrame, canonical: str, aliases: str, code: str) ->
     return keyed.groupBy("surface").agg(F.min_by("code", F.struct(-F.length("canonical"), F.col("code"))).alias("code"))
 
 
-def word_runs(texts: DataFrame, key: str, text: str, longest: int) -> DataFrame:
-    """(key, place, words, surface): every run of up to ``longest`` words of each text."""
-    words = texts.select(F.col(key), F.filter(F.split(normal(F.col(text)), " "), lambda w: w != "").alias("w"))
-    at = words.select(key, "w", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w")))).alias("place")).filter(F.size("w") > 0)
-    return at.select(key, "place", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("w") - F.col("place") + 1))).alias("words"), "w").select(key, "place", "words", F.array_join(F.slice("w", F.col("place"), F.col("words")), " ").alias("surface"))
+def run_lengths(index: DataFrame) -> DataFrame:
+    """One row (lengths): the numbers of words that the surfaces of ``index`` have."""
+    return index.agg(F.sort_array(F.collect_set(F.size(F.split("surface", " ")))).alias("lengths"))
 
 
-def all_hits(texts: DataFrame, index: DataFrame, key: str, text: str, longest: int = 8) -> DataFrame:
+def word_runs(texts: DataFrame, index: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, place, words, surface): every run of each text that has as many words as some surface of ``index``."""
+    words = texts.select(F.col(key), F.filter(F.split(normal(F.col(text)), " "), lambda w: w != "").alias("w")).filter(F.size("w") > 0)
+    # The lengths are one row, whatever the dictionary holds.
+    sized = words.join(F.broadcast(run_lengths(index)), F.lit(True)).select(key, "w", F.explode("lengths").alias("words")).filter(F.col("words") <= F.size("w"))
+    placed = sized.select(key, "words", F.explode(F.sequence(F.lit(1), F.size("w") - F.col("words") + 1)).alias("place"), "w")
+    return placed.select(key, "place", "words", F.array_join(F.slice("w", F.col("place"), F.col("words")), " ").alias("surface"))
+
+
+def all_hits(texts: DataFrame, index: DataFrame, key: str, text: str) -> DataFrame:
     """(key, place, words, surface, code): every surface that occurs in a text at word borders, overlaps included."""
-    return word_runs(texts, key, text, longest).join(index, "surface").select(key, "place", "words", "surface", "code")
+    return word_runs(texts, index, key, text).join(index, "surface").select(key, "place", "words", "surface", "code")
 
 
-def hits(texts: DataFrame, index: DataFrame, key: str, text: str, longest: int = 8) -> DataFrame:
+def hits(texts: DataFrame, index: DataFrame, key: str, text: str) -> DataFrame:
     """(key, place, words, surface, code) without overlaps: leftmost, then longest, then onward from its end."""
-    best = all_hits(texts, index, key, text, longest).groupBy(key, "place").agg(F.max_by(F.struct("words", "surface", "code"), "words").alias("h"))
+    best = all_hits(texts, index, key, text).groupBy(key, "place").agg(F.max_by(F.struct("words", "surface", "code"), "words").alias("h"))
     line = best.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("place", "h"))).alias("all"))
     kind = line.schema["all"].dataType
     kept = F.aggregate(
@@ -57,7 +65,7 @@ def hits(texts: DataFrame, index: DataFrame, key: str, text: str, longest: int =
     return line.select(key, F.explode(kept).alias("x")).select(key, "x.place", "x.h.words", "x.h.surface", "x.h.code")
 
 
-def first_hit(texts: DataFrame, index: DataFrame, key: str, text: str, longest: int = 8) -> DataFrame:
+def first_hit(texts: DataFrame, index: DataFrame, key: str, text: str) -> DataFrame:
     """(key, place, words, surface, code): the leftmost hit, the longest at that place."""
-    found = all_hits(texts, index, key, text, longest)
+    found = all_hits(texts, index, key, text)
     return found.groupBy(key).agg(F.min_by(F.struct("place", "words", "surface", "code"), F.struct("place", -F.col("words"))).alias("h")).select(key, "h.*")

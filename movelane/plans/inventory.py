@@ -164,7 +164,7 @@ def x06_sentences_about(spark, root):
         _PLACES_SQL,
         "u AS (SELECT item_id, string_split(" + NORMAL_SQL.format(x="replace(url, '/', ' ')") + ", ' ') AS w FROM raw_items)",
         "p AS (SELECT item_id, w, unnest(range(1, len(w) + 1)) AS place FROM u)",
-        "r AS (SELECT item_id, w, place, unnest(range(1, least(8, len(w) - place + 1) + 1)) AS words FROM p)",
+        "r AS (SELECT item_id, w, place, unnest(range(1, len(w) - place + 2)) AS words FROM p)",
         "h AS (SELECT r.item_id, pc.code, row_number() OVER (PARTITION BY r.item_id ORDER BY place, words DESC) AS n FROM r JOIN pc ON pc.surface = array_to_string(w[place:place + words - 1], ' '))",
         MOVES_SQL,
     )

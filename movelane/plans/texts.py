@@ -133,7 +133,7 @@ INDEX_SQL = (
 RUNS_OF_WORDS_SQL = (
     "tx AS (SELECT item_id, list_filter(string_split(" + NORMAL_SQL.format(x="headline") + ", ' '), lambda x: x <> '') AS w FROM raw_items), "
     "pl AS (SELECT item_id, w, unnest(range(1, len(w) + 1)) AS place FROM tx), "
-    "rn AS (SELECT item_id, w, place, unnest(range(1, least(8, len(w) - place + 1) + 1)) AS words FROM pl), "
+    "rn AS (SELECT item_id, w, place, unnest(range(1, len(w) - place + 2)) AS words FROM pl), "
     "sf AS (SELECT item_id, place, words, array_to_string(w[place:place + words - 1], ' ') AS surface FROM rn)"
 )
 
@@ -199,7 +199,7 @@ def _classify_sql(name: str, source: str, key: str, text: str) -> str:
     return (
         f"{name}w AS (SELECT {key}, " + NORMAL_SQL.format(x=text) + f" AS n FROM {source}), "
         f"{name}p AS (SELECT {key}, n, string_split(n, ' ') AS w, unnest(range(1, len(string_split(n, ' ')) + 1)) AS place FROM {name}w WHERE n <> ''), "
-        f"{name}r AS (SELECT {key}, n, w, place, unnest(range(1, least(8, len(w) - place + 1) + 1)) AS words FROM {name}p), "
+        f"{name}r AS (SELECT {key}, n, w, place, unnest(range(1, len(w) - place + 2)) AS words FROM {name}p), "
         f"{name}h AS (SELECT {key}, px.surface, px.code, row_number() OVER (PARTITION BY {key} ORDER BY place, words DESC) AS k FROM {name}r JOIN px ON px.surface = array_to_string(w[place:place + words - 1], ' ')), "
         f"{name} AS (SELECT {name}w.{key}, coalesce(h.code, 'unclassified') AS code, CASE WHEN h.code IS NOT NULL THEN h.surface WHEN n = '' THEN 'no_practice_text' ELSE 'no_mapping_matched' END AS rule_key, "
         f"CASE WHEN h.code IS NULL THEN 0.0 WHEN h.surface = n THEN 0.95 ELSE 0.8 END AS confidence FROM {name}w LEFT JOIN (SELECT * FROM {name}h WHERE k = 1) h ON h.{key} = {name}w.{key})"
