@@ -7,13 +7,23 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from movelane.functions.text import reused
+
 # Elements dropped with their content, block ends, and the entities that occur.
 DROPPED = "script style nav header footer aside form noscript svg iframe".split()
 BLOCKS = "p div li br tr h1 h2 h3 h4 h5 h6 section article blockquote ul ol table".split()
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&rsquo;": "’", "&lsquo;": "‘", "&ldquo;": "“", "&rdquo;": "”", "&ndash;": "–", "&mdash;": "—", "&amp;": "&"}
 TRACKING = r"^(?:utm_|mc_|_hs|ck_|elq|mkt_tok|trk)"
 MIN_BODY, MAX_BODY = 120, 4000
-TAIL_MARKERS = ["read more", "related articles", "share this", "subscribe", "sign up", "all rights reserved", "for more information", "contact us", "follow us", "advertisement", "about the author", "privacy policy", "terms of use"]
+# What begins the furniture below an article.
+TAIL_MARKERS = [
+    "related stories", "related articles", "most read", "most popular", "subscribe", "newsletter", "share this article",
+    "copyright", "terms of use", "privacy policy", "follow us", "read next", "recommended", "deal highlights",
+    "you might also like", "more from", "latest news", "latest articles", "editor's picks", "sign up",
+    "all rights reserved", "leave a reply", "comments",
+]
+#: A byline: By, one to three names, a date.
+BYLINE = r"By\s+\p{Lu}[\w'’-]+(?:\s+\p{Lu}[\w'’-]+){0,2}\s+\d{1,2}\s+\w{3,9}\s+\d{4}"
 
 
 def unescape(text: Column) -> Column:
@@ -44,18 +54,26 @@ def title_of(html: Column) -> Column:
 
 
 def trim_tail(body: Column, markers: list[str] | None = None) -> Column:
-    """The body up to the earliest marker after its first MIN_BODY characters; trimming twice changes nothing."""
-    found = [F.when(F.locate(m, F.lower(body), MIN_BODY + 1) > 0, F.locate(m, F.lower(body), MIN_BODY + 1)) for m in markers or TAIL_MARKERS]
-    cut = F.least(*found)
-    return F.when(cut.isNotNull(), F.rtrim(F.substr(body, F.lit(1), cut - 1))).otherwise(body)
+    """The body up to the earliest marker behind its first MIN_BODY characters, white space at its ends dropped.
+
+    Trimming twice changes nothing.
+    """
+    def cut(text: Column) -> Column:
+        at = reused(F.lower(text), lambda low: F.array_min(F.filter(F.transform(F.array(*map(F.lit, markers or TAIL_MARKERS)), lambda m: F.position(m, low, F.lit(MIN_BODY + 2))), lambda i: i > 0)))
+        return F.regexp_replace(F.substr(text, F.lit(1), F.coalesce(at - 1, F.length(text))), r"^\s+|\s+$", "")
+
+    return reused(body, cut)
 
 
 def body_of(text: Column, headline: Column) -> Column:
-    """What follows the last occurrence of the headline, tail trimmed; null below MIN_BODY characters, cut at MAX_BODY."""
+    """What follows the last occurrence of the headline and then the byline, tail trimmed.
+
+    Null below MIN_BODY characters; cut at MAX_BODY, which is the published limit of an article.
+    """
     at = F.instr(F.reverse(text), F.reverse(headline))
-    rest = F.when((F.length(headline) > 0) & (at > 0), F.ltrim(F.substr(text, F.length(text) - at + 2))).otherwise(text)
-    body = F.substring(trim_tail(rest), 1, MAX_BODY)
-    return F.when(F.length(body) >= MIN_BODY, body)
+    rest = F.when((F.length(headline) > 0) & (at > 0), F.substr(text, F.length(text) - at + 2)).otherwise(text)
+    signed = lambda r: reused(F.regexp_instr(r, F.lit(BYLINE)), lambda i: F.when(i > 0, F.substr(r, i + F.length(F.regexp_substr(r, F.lit(BYLINE))))).otherwise(r))
+    return reused(trim_tail(reused(rest, signed)), lambda body: F.when(F.length(body) >= MIN_BODY, F.substring(body, 1, MAX_BODY)))
 
 
 def headline_from_slug(url: Column) -> Column:

@@ -10,6 +10,7 @@ from movelane.functions.text import fold_accents
 # Affixes and particles that decide the keys.
 HONORIFICS = "mr mrs ms miss dr prof sir dame hon".split()
 POST_NOMINALS = "sc kc qc llb llm jd ba ma phd faciarb ficarb".split()
+TITLES_OF_ADDRESS = "dr mr mrs ms miss prof professor sir dame".split()
 PARTICLES = "van von der den de del della di da das dos du la le lo ten ter bin binte binti ibn al".split()
 #: Family names that may be written first; the caller may pass a longer list.
 FAMILY_FIRST = "chan chen cheung chua goh ho huang kim koh kwok lam lau lee leong lim lin liu ng ong park tan tang teo wang wong wu yang yeo zhang zhao zhou nguyen tran pham sato suzuki tanaka singh kumar".split()
@@ -84,6 +85,25 @@ def with_name_variants(frame: DataFrame, name: str) -> DataFrame:
     return rows.withColumn("variants", F.array_sort(F.array_distinct(F.filter(spellings, lambda x: x.isNotNull() & (x != ""))))).drop("_s", "_g", "_f", "surname_tokens", "given_tokens")
 
 
+def clean_person(name: Column, noise: list[str]) -> Column:
+    """A person as captured from text, without what stood around: honorifics, words of ``noise`` in front, a second copy.
+
+    Leading words go only while more than two are left; a name printed twice in a row counts once. ``noise`` has lower-case
+    words (navigation, datelines).
+    """
+    words = F.filter(F.split(F.trim(name), r"\s+"), lambda w: w != "")
+    bare = lambda w: F.lower(F.regexp_replace(w, r"^[.,'’-]+|[.,'’-]+$", ""))
+    lead = F.array_position(F.transform(words, lambda w: ~bare(w).isin(TITLES_OF_ADDRESS)), F.lit(True)).cast("int")
+    words = F.when(lead > 0, F.slice(words, lead, F.size(words))).otherwise(words)
+    front = F.array_position(F.transform(words, lambda w: ~bare(w).isin(noise)), F.lit(True)).cast("int")
+    start = F.greatest(F.lit(1), F.least(F.when(front > 0, front).otherwise(F.size(words)), F.size(words) - 1))
+    words = F.slice(words, start, F.size(words))
+    half = (F.size(words) / 2).cast("int")
+    first, second = F.slice(words, F.lit(1), half), F.slice(words, half + 1, F.size(words))
+    twice = (half > 0) & (F.lower(F.array_join(first, " ")) == F.lower(F.array_join(second, " ")))
+    return F.array_join(F.when(twice, first).otherwise(words), " ")
+
+
 def hash_normalised(name: Column) -> Column:
     """The form of a name that is hashed: folded, without affixes as whole words, punctuation or double blanks."""
     text = F.lower(fold_accents(F.coalesce(name, F.lit(""))))

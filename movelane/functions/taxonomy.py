@@ -22,6 +22,12 @@ def taxonomy_from_list(ref_values: DataFrame, kind: str = "practice", width: int
     return rows.select(F.concat_ws(".", top, F.lower("ref_code")).alias("code"), top.alias("top"), "name")
 
 
+def normalise(text: Column) -> Column:
+    """The written form of a practice phrase: lower case, '&' kept, other signs to single blanks; null if nothing is left."""
+    flat = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9&]+", " "))
+    return F.when(flat != "", flat)
+
+
 def phrase_index(nodes: DataFrame, phrases: DataFrame | None = None) -> DataFrame:
     """(surface, code): node names and further phrases; a phrase of several nodes goes to the smallest code."""
     rows = nodes.select(gazetteer.normal(F.col("name")).alias("surface"), "code")

@@ -33,6 +33,11 @@ def fold_accents(text: Column) -> Column:
     return out
 
 
+def reused(value: Column, build) -> Column:
+    """``build(value)`` with ``value`` computed once, however often ``build`` uses it."""
+    return F.get(F.transform(F.array(value), build), F.lit(0))
+
+
 def squeeze(text: Column) -> Column:
     """White space of any kind collapsed to single blanks, none at the ends."""
     return F.trim(F.regexp_replace(text, r"(?U)[\s​﻿]+", " "))

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from movelane.functions.text import reused
+
 # The patterns of each family, case-insensitive. They decide what passes, so they equal the published ones.
 MOVEMENT = r"""\bre-?join(s|ed|ing)?\b|\bjoin(s|ed|ing)?\b
 \bre-?hire(s|d|ing)?\b|\bhire(s|d|ing)?\b
@@ -113,16 +115,24 @@ def scan(patterns: str) -> str:
     return "(?i)" + "|".join([rf"\b(?=\w)(?:{'|'.join(words)})", *rest])
 
 
-def language_gate(headline: Column, body: Column, tier: Column) -> Column:
-    """struct(passed, score, matched, reason) of an item; null texts count as empty, a null tier as none.
+#: The tests of the language gate: family, and whether it reads headline, body or both.
+TESTS = {"strong": (STRONG, "both"), "judicial": (JUDICIAL, "both"), "disqualified": (DISQUALIFIERS, "both"), "senior": (SENIORITY, "both"), "in_head": (MOVEMENT, "head"), "in_body": (MOVEMENT, "body")}
+
+
+def language_tests(headline: Column, body: Column) -> Column:
+    """struct of the booleans of TESTS; null texts count as empty. Each family is scanned once."""
+    head, text = F.coalesce(headline, F.lit("")), F.coalesce(body, F.lit(""))
+    read = {"head": head, "body": text, "both": F.concat(head, F.lit("\n"), text)}
+    return F.struct(*[read[where].rlike(scan(patterns)).alias(name) for name, (patterns, where) in TESTS.items()])
+
+
+def decide(tests: Column, tier: Column) -> Column:
+    """struct(passed, score, matched, reason) of the booleans of ``language_tests``.
 
     Evidence adds up to a score between 0 and 1; the decision is an ordered list of rules, the reason names the first
     that refused.
     """
-    head, text = F.coalesce(headline, F.lit("")), F.coalesce(body, F.lit(""))
-    both = F.concat(head, F.lit("\n"), text)
-    strong, judicial, disqualified, senior = (both.rlike(scan(p)) for p in (STRONG, JUDICIAL, DISQUALIFIERS, SENIORITY))
-    in_head, in_body = head.rlike(scan(MOVEMENT)), text.rlike(scan(MOVEMENT))
+    strong, judicial, disqualified, senior, in_head, in_body = (tests[name] for name in TESTS)
     moved = in_head | in_body
     part = lambda test, points: F.when(test, F.lit(points)).otherwise(F.lit(0))
     # Hundredths, so that the sum is exact.
@@ -140,6 +150,14 @@ def language_gate(headline: Column, body: Column, tier: Column) -> Column:
     return F.struct(passed.alias("passed"), score.cast("decimal(3,2)").alias("score"), named.alias("matched"), reason.alias("reason"))
 
 
+def language_gate(headline: Column, body: Column, tier: Column) -> Column:
+    """struct(passed, score, matched, reason) of an item; null texts count as empty, a null tier as none.
+
+    The tests are made once: a lambda's variable holds them for the decision, which uses each several times.
+    """
+    return reused(language_tests(headline, body), lambda tests: decide(tests, tier))
+
+
 def slug_gate(slug_text: Column, firm_words: Column, place_code: Column) -> Column:
     """struct(passed, score, reason) of a slug that names a firm and a place instead of telling a story.
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from movelane.functions import confidence, gazetteer, names
+from movelane.functions import confidence, gazetteer, names, spans
 from movelane.operators import bindings, dedupe, extraction, gate
 from movelane.operators.bindings import MOVES_SQL, SOURCES_SQL, with_sql
 from movelane.plans.registry import Registry
-from movelane.plans.texts import _COMPACT, INDEX_SQL, NAMES_SQL
-from movelane.session import table
+from movelane.plans.texts import _COMPACT, INDEX_SQL, NAMES_SQL, NORMAL_SQL, RUNS_OF_WORDS_SQL, _about_sql, PLACES, firm_index
+from movelane.session import cut_lineage, table
 
 query = Registry()
 
@@ -185,13 +186,44 @@ def x16_review_routing(spark, root):
     return rows.withColumn("reason", F.when(review, "low_confidence").when(F.col("practice_text").isNull(), "unclassified_practice")).filter("reason is not null").select("move_id", "reason")
 
 
-@query("SELECT move_id, sha256(item_id || '|' || lower(person_name)) AS fingerprint FROM extracted_moves")
+@query(with_sql(NAMES_SQL) + f"SELECT m.move_id, sha256(CAST(m.item_id AS VARCHAR) || '|' || {_COMPACT.format(x='nm.sur')} || '|' || CAST(row_number() OVER (PARTITION BY m.item_id ORDER BY m.move_id) - 1 AS VARCHAR)) AS fingerprint FROM extracted_moves m JOIN nm ON nm.person_name = m.person_name")
 def x12_fingerprint(spark, root):
-    return table(spark, root, "extracted_moves").select("move_id", extraction.fingerprint(F.col("item_id"), F.lower("person_name")).alias("fingerprint"))
+    """The slot of a move is its place among the moves of its item that name a person."""
+    rows = names.with_name_keys(table(spark, root, "extracted_moves").select("move_id", "item_id", "person_name").filter("person_name is not null"), "person_name")
+    slot = F.row_number().over(Window.partitionBy("item_id").orderBy("move_id")) - 1
+    return rows.select("move_id", extraction.fingerprint(F.col("item_id"), F.col("surname_key"), slot).alias("fingerprint"))
+
+
+_PAIR_SQL = (
+    "WITH RECURSIVE "
+    + ", ".join([INDEX_SQL, RUNS_OF_WORDS_SQL])
+    + ", al AS (SELECT sf.item_id, sf.place, sf.words, ix.code FROM sf JOIN ix ON ix.surface = sf.surface), "
+    "be AS (SELECT item_id, place, max(words) AS words, max_by(code, words) AS code FROM al GROUP BY item_id, place), "
+    "nx AS (SELECT b.item_id, b.place, b.words, b.code, min(c.place) AS then FROM be b LEFT JOIN be c ON c.item_id = b.item_id AND c.place >= b.place + b.words GROUP BY ALL), "
+    "wk AS (SELECT nx.* FROM nx JOIN (SELECT item_id, min(place) AS p FROM be GROUP BY item_id) f ON f.item_id = nx.item_id AND f.p = nx.place UNION ALL SELECT nx.* FROM wk JOIN nx ON nx.item_id = wk.item_id AND nx.place = wk.then) "
+)
+
+
+@query(_PAIR_SQL + "SELECT wk.item_id, CAST(wk.place AS INTEGER) AS place, CAST(wk.words AS INTEGER) AS words, array_to_string(tx.w[wk.place:wk.place + wk.words - 1], ' ') AS surface, wk.code FROM wk JOIN tx ON tx.item_id = wk.item_id")
+def t18_firm_find_all(spark, root):
+    return gazetteer.hits(table(spark, root, "raw_items"), firm_index(spark, root), "item_id", "headline")
+
+
+@query(
+    _PAIR_SQL
+    + f""", cu AS (SELECT wk.item_id, wk.place, wk.code, CASE WHEN regexp_matches(array_to_string(tx.w[1:wk.place - 1], ' ') || ' ', '{extraction.LOSES_BEFORE}') OR regexp_matches(' ' || array_to_string(tx.w[wk.place + wk.words:], ' '), '{extraction.LOSES_BEHIND}') THEN 'loses'
+    WHEN regexp_matches(array_to_string(tx.w[1:wk.place - 1], ' ') || ' ', '{extraction.GAINS_BEFORE}') THEN 'gains' END AS cue FROM wk JOIN tx ON tx.item_id = wk.item_id),
+    ls AS (SELECT item_id, min_by(code, place) FILTER (WHERE cue = 'loses') AS loser, min_by(code, place) FILTER (WHERE cue = 'gains') AS winner FROM cu GROUP BY item_id),
+    ds AS (SELECT ls.item_id, loser, coalesce(winner, min_by(cu.code, cu.place) FILTER (WHERE loser IS NULL OR cu.code <> loser)) AS destination FROM ls JOIN cu ON cu.item_id = ls.item_id GROUP BY ls.item_id, loser, winner)
+    SELECT ds.item_id, destination, coalesce(loser, min_by(cu.code, cu.place) FILTER (WHERE destination IS NULL OR cu.code <> destination)) AS origin FROM ds JOIN cu ON cu.item_id = ds.item_id GROUP BY ds.item_id, loser, destination"""
+)
+def x05_firm_direction(spark, root):
+    return extraction.firm_direction(table(spark, root, "raw_items").select("item_id", "headline"), firm_index(spark, root), "item_id", "headline")
 
 
 @query(r"SELECT item_id, regexp_extract(headline, '^(.+?) hires (.+?) from (.+)$', 1) AS firm, regexp_extract(headline, '^(.+?) hires (.+?) from (.+)$', 2) AS person, regexp_extract(headline, '^(.+?) hires (.+?) from (.+)$', 3) AS origin FROM raw_items WHERE regexp_matches(headline, '^(.+?) hires (.+?) from (.+)$')")
 def x05_hire_slots(spark, root):
+    """The three slots of the plainest headline, which the evaluation takes for expected."""
     shape = r"^(.+?) hires (.+?) from (.+)$"
     rows = table(spark, root, "raw_items").filter(F.col("headline").rlike(shape))
     return rows.select("item_id", *[F.regexp_extract("headline", shape, i).alias(n) for i, n in ((1, "firm"), (2, "person"), (3, "origin"))])
@@ -204,12 +236,25 @@ def x08_move_type(spark, root):
     return table(spark, root, "raw_items").select("item_id", extraction.move_type(F.col("headline"), F.lit(None)).alias("move_type"))
 
 
+def practice_words(spark, root):
+    """The words of practice names, a fixed list; 'law' is a surname too."""
+    rows = table(spark, root, "ref_values").filter("kind = 'practice'").select(F.explode(F.split(gazetteer.normal(F.col("name")), " ")).alias("word"))
+    return sorted(r.word for r in rows.filter("word not in ('law', 'of', 'in', 'the')").distinct().limit(gazetteer.FIXED_ENTRIES).collect())
+
+
+PLACE_CODES = {place.lower(): code for code, place in PLACES.items()}
+
+
+def gated(spark, root):
+    """Items that pass the language gate at the tier of their source, with what extraction reads."""
+    src = bindings.sources(spark, root).select(F.col("slug").alias("source_slug"), "tier", (F.col("adapter") == "sitemap").alias("entity_slug"))
+    items = table(spark, root, "raw_items").select("item_id", "headline", F.col("body_text").alias("body"), "url", "access_level", "source_slug").join(src, "source_slug", "left")
+    passed = items.filter(gate.language_gate(F.col("headline"), F.col("body"), F.col("tier"))["passed"])
+    return passed.drop("source_slug").withColumn("entity_slug", F.coalesce("entity_slug", F.lit(False)))
+
+
 def extracted(spark, root):
-    firms = gazetteer.surface_index(table(spark, root, "firms"), "canonical_name", "aliases", "firm_id")
-    named = firms.join(table(spark, root, "firms").select(F.col("firm_id").alias("code"), F.col("canonical_name").alias("firm")), "code").select("surface", "firm")
-    items = table(spark, root, "raw_items").select("item_id", "headline", F.col("body_text").alias("body"))
-    passed = items.filter(gate.language_gate(F.col("headline"), F.col("body"), F.lit(1))["passed"])
-    return extraction.extract_moves(passed, named)
+    return extraction.extract_moves(gated(spark, root), firm_index(spark, root), PLACE_CODES, practice_words(spark, root))
 
 
 @query()
@@ -217,12 +262,82 @@ def x01_extract_moves(spark, root):
     return extracted(spark, root)
 
 
+@query()
+def x02_headline_moves(spark, root):
+    """Headlines alone: role parse, partner test and both firms, none of the body."""
+    firms = firm_index(spark, root)
+    return extraction.headline_moves(cut_lineage(extraction.read_headlines(gated(spark, root), firms, PLACE_CODES)), firms, PLACE_CODES, practice_words(spark, root))
+
+
+@query()
+def x03_body_proposals(spark, root):
+    """What the sentences of bodies propose before any guard."""
+    return extraction.body_proposals(gated(spark, root).select("item_id", "body"), firm_index(spark, root)).drop("clause", "sentence")
+
+
+@query()
+def x04_body_moves(spark, root):
+    """Bodies read under all guards, whether or not the headline has a move."""
+    firms = cut_lineage(firm_index(spark, root))
+    read = cut_lineage(extraction.read_headlines(gated(spark, root), firms, PLACE_CODES))
+    proposals = cut_lineage(extraction.body_proposals(read.select("item_id", "body"), firms))
+    return extraction.body_moves(extraction.with_origins(read, proposals), proposals, firms, PLACE_CODES, practice_words(spark, root))
+
+
+@query()
+def x04_slug_contradicts(spark, root):
+    """Moves whose item's url names someone else who stands in the body, over all sources."""
+    items = table(spark, root, "raw_items").select("item_id", "url", F.col("body_text").alias("body"))
+    rows = table(spark, root, "extracted_moves").select("item_id", F.col("person_name").alias("person")).join(items, "item_id")
+    return extraction.slug_contradicts(rows, firm_index(spark, root), PLACE_CODES, practice_words(spark, root))
+
+
+@query(
+    with_sql(MOVES_SQL, NAMES_SQL, "ab AS (SELECT mv.move_id, " + _about_sql("i.body_text") + " AS about FROM mv JOIN raw_items i ON i.item_id = mv.item_id JOIN nm ON nm.person_name = mv.person_name)")
+    + "SELECT move_id, about FROM ab WHERE about IS NOT NULL AND about <> ''"
+)
+def x06_sentences_about(spark, root):
+    """The sentences of an item's body about the person of a move."""
+    people = names.with_name_keys(bindings.moves(spark, root).select("move_id", "item_id", "person_name"), "person_name")
+    rows = people.join(table(spark, root, "raw_items").select("item_id", "body_text"), "item_id")
+    return rows.select("move_id", extraction.sentences_about(F.array_join("surname_tokens", " "), F.col("body_text")).alias("about")).filter("about is not null and about <> ''")
+
+
+@query()
+def x06_practice_near(spark, root):
+    """The practice that an item's body states near the person of a move."""
+    rows = bindings.moves(spark, root).select("move_id", "item_id", "person_name").join(table(spark, root, "raw_items").filter("body_text is not null").select("item_id", "body_text"), "item_id")
+    return rows.select("move_id", extraction.practice_near(F.col("person_name"), spans.sentences(F.col("body_text"))).alias("practice")).filter("practice is not null")
+
+
+@query(
+    with_sql(INDEX_SQL, "rw AS (SELECT move_id, list_filter(string_split(" + NORMAL_SQL.format(x="fields['to_firm'].value || chr(39) || 's newest office'") + ", ' '), lambda x: x <> '') AS w FROM extracted_moves)", "pf AS (SELECT move_id, w, unnest(range(1, len(w) + 1)) AS n FROM rw)")
+    + "SELECT pf.move_id, max_by(ix.code, pf.n) AS code FROM pf JOIN ix ON ix.surface = array_to_string(pf.w[1:pf.n], ' ') GROUP BY pf.move_id"
+)
+def x07_leading_firm(spark, root):
+    """Firms resolved at the start of a text that goes on: the longest surface, a possessive and further words behind it."""
+    rows = table(spark, root, "extracted_moves").select("move_id", F.concat(F.col("fields")["to_firm"]["value"], F.lit("'s newest office")).alias("text"))
+    found = gazetteer.all_hits(rows, firm_index(spark, root), "move_id", "text").filter("place = 1")
+    return found.groupBy("move_id").agg(F.max_by("code", "words").alias("code"))
+
+
+@query()
+def x09_enriched(spark, root):
+    """Headline moves with the practice and origin that only the body states."""
+    firms = cut_lineage(firm_index(spark, root))
+    read = cut_lineage(extraction.read_headlines(gated(spark, root), firms, PLACE_CODES))
+    told = cut_lineage(extraction.headline_moves(read, firms, PLACE_CODES, practice_words(spark, root)))
+    return extraction.enriched(told, extraction.with_origins(read, extraction.body_proposals(read.select("item_id", "body"), firms)))
+
+
 @query()
 def e01_evaluation(spark, root):
-    """Extraction from the headlines that name a hire, against the slots of those headlines."""
-    expected = x05_hire_slots(spark, root).select("item_id", F.lower("person").alias("person"), F.col("origin"))
-    predicted = extracted(spark, root).filter("rule = 'hires_from'").select("item_id", F.lower("person").alias("person"), F.col("from_firm").alias("origin"))
-    return extraction.evaluate(predicted, expected, ["item_id", "person"], ["origin"])
+    """Extraction against the slots of the headlines that name a hire, the firms of both through the gazetteer."""
+    hires, firms = x05_hire_slots(spark, root), firm_index(spark, root)
+    code = lambda c: hires.select("item_id", gazetteer.normal(F.col(c)).alias("surface")).join(firms, "surface").select("item_id", F.col("code").alias(c))
+    expected = hires.select("item_id", F.lower("person").alias("person")).join(code("firm"), "item_id", "left").join(code("origin"), "item_id", "left")
+    predicted = extracted(spark, root).filter("part = 'headline'").join(hires.select("item_id"), "item_id", "left_semi").select("item_id", F.lower("person").alias("person"), F.col("to_firm").alias("firm"), F.col("from_firm").alias("origin"))
+    return extraction.evaluate(predicted, expected, ["item_id", "person"], ["firm", "origin"])
 
 
 QUERIES, SQL = query.queries, query.sql

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from movelane.functions import confidence, gazetteer, html, names, taxonomy
-from movelane.operators import bindings, integrity
+from movelane.functions import confidence, gazetteer, html, names, spans, taxonomy
+from movelane.operators import bindings, integrity, slots
 from movelane.operators.bindings import MOVES_SQL, SOURCES_SQL, with_sql
-from movelane.plans.events import _SCORED_SQL, _SCORES_SQL, pair_scores, scored
+from movelane.plans.events import _SCORED_SQL, _SCORES_SQL, PLACE_CODES, pair_scores, practice_words, scored
 from movelane.plans.registry import Registry
 from movelane.plans.relational import _CANONICAL, CLASSIFIED_SQL, canonical, classified
-from movelane.plans.texts import _COMPACT, _PLACES_SQL, _PRACTICE_SQL, NAMES_SQL, NORMAL_SQL, _classify_sql, _gate_sql, f02_language_gate, people, place_index, practice_index
+from movelane.plans.texts import _COMPACT, _PLACES_SQL, _PRACTICE_SQL, INDEX_SQL, NAMES_SQL, NORMAL_SQL, _classify_sql, _gate_sql, f02_language_gate, firm_index, people, place_index, practice_index
 from movelane.session import table
 from movelane.sources import feed, register, sitemap
 
@@ -113,8 +113,8 @@ def t06_surname_keys(spark, root):
 
 
 @query(
-    "SELECT item_id, CASE WHEN cut IS NOT NULL THEN rtrim(substr(body_text, 1, cut - 1)) ELSE body_text END AS trimmed FROM (SELECT item_id, body_text, least("
-    + ", ".join(f"CASE WHEN instr(substr(lower(body_text), 121), '{m}') > 0 THEN instr(substr(lower(body_text), 121), '{m}') + 120 END" for m in html.TAIL_MARKERS)
+    "SELECT item_id, regexp_replace(CASE WHEN cut IS NOT NULL THEN substr(body_text, 1, cut - 1) ELSE body_text END, '^\\s+|\\s+$', '', 'g') AS trimmed FROM (SELECT item_id, body_text, least("
+    + ", ".join("CASE WHEN instr(substr(lower(body_text), 122), '{m}') > 0 THEN instr(substr(lower(body_text), 122), '{m}') + 121 END".format(m=m.replace("'", "''")) for m in html.TAIL_MARKERS)
     + ") AS cut FROM raw_items WHERE body_text IS NOT NULL)"
 )
 def t11_trim_tail(spark, root):
@@ -127,36 +127,54 @@ def t23_matched_phrases(spark, root):
     return rows.filter("code <> 'unclassified'").groupBy(F.col("rule_key").alias("phrase")).agg(F.count("*").alias("texts"))
 
 
-_WORDS = "office|offices|partnership|partner|partners|firm|team|group|practice|role|position|department"
+_FILLER_SQL, _STRUCTURAL_SQL = "|".join(spans.FILLERS), "|".join(spans.STRUCTURAL)
 
 
-@query(rf"SELECT role_id, nullif(trim(regexp_replace(regexp_replace(trim(lower(practice)), '^(?:(?:of|in|on|for|to|at|the|its|an?|their|new|newest) )+', ''), '(?: (?:{_WORDS}))+$', '')), '') AS cleaned FROM role_parts WHERE practice IS NOT NULL")
+@query(
+    rf"""WITH a AS (SELECT role_id, trim(regexp_replace(regexp_replace(regexp_replace(practice, '(?i)\s+and\s+(?:a|an|the|its)\s.*$', ''), '[,;]', ' ', 'g'), '(^|\s)[-–—](?=\s|$)', ' ', 'g')) AS p FROM role_parts WHERE practice IS NOT NULL),
+    b AS (SELECT role_id, trim(regexp_replace(p, '\s+', ' ', 'g')) AS p FROM a), c AS (SELECT role_id, regexp_replace(p, '(?i)^(?:(?:{_FILLER_SQL})(?:\s|$))+', '') AS p FROM b),
+    d AS (SELECT role_id, trim(regexp_replace(p, '(?i)(?:(?:^|\s)(?:{_STRUCTURAL_SQL}))+$', '')) AS p FROM c)
+    SELECT role_id, CASE WHEN length(p) >= 3 AND NOT regexp_matches(p, '(?i)^(?:(?:{_STRUCTURAL_SQL}|{"|".join(spans.JOINTS)})(?:\s|$))*$') THEN p END AS cleaned FROM d""".replace("(?=\\s|$)", "(\\s|$)")
+)
 def t25_clean_practice(spark, root):
-    text = F.regexp_replace(F.trim(F.lower("practice")), "^(?:(?:of|in|on|for|to|at|the|its|an?|their|new|newest) )+", "")
-    text = F.trim(F.regexp_replace(text, f"(?: (?:{_WORDS}))+$", ""))
-    return table(spark, root, "role_parts").filter("practice is not null").select("role_id", F.when(text != "", text).alias("cleaned"))
+    return table(spark, root, "role_parts").filter("practice is not null").select("role_id", spans.clean_practice(F.col("practice")).alias("cleaned"))
 
 
-_NOT_NAMES = ["partner", "partners", "counsel", "head", "chair", "team", "law", "legal", "firm", "group", "office", "the", "and", "of"]
-_NOT_NAMES_SQL = ", ".join(f"'{w}'" for w in _NOT_NAMES)
+_NEVER_SQL = ", ".join(f"'{w}'" for w in slots.NOT_A_NAME)
 
 
-@query(rf"SELECT move_id, len(w) BETWEEN 2 AND 4 AND NOT regexp_matches(p, '[0-9]') AND len(list_intersect(w, [{_NOT_NAMES_SQL}])) = 0 AND NOT list_contains((SELECT list(lower(trim(canonical_name))) FROM firms), p) AS fits FROM (SELECT move_id, lower(trim(person_name)) AS p, list_filter(string_split(lower(trim(person_name)), ' '), lambda x: x <> '') AS w FROM extracted_moves)")
+@query(
+    with_sql(
+        INDEX_SQL, _PLACES_SQL,
+        "pw AS (SELECT DISTINCT unnest(string_split(" + NORMAL_SQL.format(x="name") + ", ' ')) AS word FROM ref_values WHERE kind = 'practice')",
+        "pn AS (SELECT DISTINCT person_name FROM extracted_moves WHERE person_name IS NOT NULL)",
+        "nw AS (SELECT person_name, list_transform(list_filter(regexp_split_to_array(lower(trim(person_name)), '\\s+'), lambda x: x <> ''), lambda x: regexp_replace(x, '^[.,''’-]+|[.,''’-]+$', '', 'g')) AS w, list_filter(string_split(" + NORMAL_SQL.format(x="person_name") + ", ' '), lambda x: x <> '') AS n FROM pn)",
+        "wd AS (SELECT person_name, unnest(w) AS word FROM nw)",
+        "rn AS (SELECT person_name, n, place, unnest(range(1, len(n) - place + 2)) AS words FROM (SELECT person_name, n, unnest(range(1, len(n) + 1)) AS place FROM nw))",
+        "sf AS (SELECT person_name, len(n) AS total, place, words, array_to_string(n[place:place + words - 1], ' ') AS surface FROM rn)",
+    )
+    + f"""SELECT nw.person_name, len(w) BETWEEN 2 AND 4 AND NOT regexp_matches(nw.person_name, '[0-9]') AND len(list_intersect(w, [{_NEVER_SQL}])) = 0
+    AND nw.person_name NOT IN (SELECT person_name FROM wd JOIN pw ON pw.word = wd.word WHERE pw.word NOT IN ('law', 'of', 'in', 'the'))
+    AND nw.person_name NOT IN (SELECT person_name FROM sf JOIN ix ON ix.surface = sf.surface WHERE place = 1 AND (words >= 2 OR words = total))
+    AND nw.person_name NOT IN (SELECT person_name FROM sf JOIN pc ON pc.surface = sf.surface) AS fits FROM nw"""
+)
 def t31_person_slot(spark, root):
-    firms = table(spark, root, "firms").select(F.lower(F.trim("canonical_name")).alias("p"), F.lit(True).alias("is_firm")).distinct()
-    rows = table(spark, root, "extracted_moves").select("move_id", F.lower(F.trim("person_name")).alias("p")).join(firms, "p", "left")
-    words = F.filter(F.split("p", " "), lambda x: x != "")
-    return rows.select("move_id", (F.size(words).between(2, 4) & ~F.col("p").rlike("[0-9]") & ~F.arrays_overlap(words, F.array(*map(F.lit, _NOT_NAMES))) & F.col("is_firm").isNull()).alias("fits"))
+    fit = slots.fitting(people(spark, root), "person_name", firm_index(spark, root), PLACE_CODES, practice_words(spark, root)).withColumn("fits", F.lit(True))
+    return people(spark, root).join(fit, "person_name", "left").select("person_name", F.coalesce("fits", F.lit(False)).alias("fits"))
 
 
-@query(r"SELECT DISTINCT person_name, trim(regexp_replace(person_name, '(?i)^(?:(?:mr|mrs|ms|miss|mme|dr|prof|sir|dame|dato''?)\.? )+', '')) AS cleaned FROM extracted_moves WHERE person_name IS NOT NULL")
-def t32_clean_name(spark, root):
-    return people(spark, root).withColumn("cleaned", F.trim(F.regexp_replace("person_name", r"(?i)^(?:(?:mr|mrs|ms|miss|mme|dr|prof|sir|dame|dato'?)\.? )+", "")))
+_NOISE_SQL = "|".join(sorted({*slots.NAVIGATION, *(p for p in PLACE_CODES if " " not in p)}))
 
 
-@query(r"SELECT item_id, len(regexp_split_to_array(headline, '[.!?]\s+')) AS parts, contains(lower(headline), 'partner') AS about FROM raw_items")
-def x06_sentences_about(spark, root):
-    return table(spark, root, "raw_items").select("item_id", F.size(F.split("headline", r"[.!?]\s+")).alias("parts"), F.lower("headline").contains("partner").alias("about"))
+@query(
+    rf"""WITH a AS (SELECT DISTINCT person_name, trim(regexp_replace(person_name, '\s+', ' ', 'g')) AS p FROM extracted_moves WHERE person_name IS NOT NULL),
+    b AS (SELECT person_name, CASE WHEN regexp_matches(lower(p), '^(?:[.,''’-]*(?:{"|".join(names.TITLES_OF_ADDRESS)})[.,''’-]*( |$))+$') THEN p ELSE regexp_replace(p, '(?i)^(?:[.,''’-]*(?:{"|".join(names.TITLES_OF_ADDRESS)})[.,''’-]* )+', '') END AS p FROM a),
+    c AS (SELECT person_name, string_split(p, ' ') AS w FROM b),
+    d AS (SELECT person_name, w[least(greatest(len(w) - 1, 1), coalesce(list_position(list_transform(w, lambda x: NOT regexp_matches(lower(regexp_replace(x, '^[.,''’-]+|[.,''’-]+$', '', 'g')), '^(?:{_NOISE_SQL})$')), true), len(w))):] AS w FROM c)
+    SELECT person_name, array_to_string(CASE WHEN len(w) >= 2 AND len(w) % 2 = 0 AND lower(array_to_string(w[:len(w) // 2], ' ')) = lower(array_to_string(w[len(w) // 2 + 1:], ' ')) THEN w[:len(w) // 2] ELSE w END, ' ') AS cleaned FROM d"""
+)
+def t32_clean_name(spark, root):
+    return people(spark, root).withColumn("cleaned", slots.cleaned(F.col("person_name"), PLACE_CODES))
 
 
 @query(

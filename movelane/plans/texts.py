@@ -87,16 +87,20 @@ def t09_html_to_text(spark, root):
     return pages(spark, root).select("item_id", html.html_to_text(F.col("page")).alias("text"))
 
 
+_BYLINE_SQL = html.BYLINE.replace("'", "''")
+
+
 @query(
-    r"SELECT item_id, CASE WHEN length(b) >= 120 THEN b END AS body FROM (SELECT item_id, substr(CASE WHEN cut IS NOT NULL THEN rtrim(substr(body_text, 1, cut - 1)) ELSE body_text END, 1, 4000) AS b FROM ("
-    + "SELECT item_id, body_text, least("
-    + ", ".join(f"CASE WHEN instr(substr(lower(body_text), 121), '{m}') > 0 THEN instr(substr(lower(body_text), 121), '{m}') + 120 END" for m in html.TAIL_MARKERS)
-    + ") AS cut FROM raw_items WHERE body_text IS NOT NULL))"
+    f"""WITH a AS (SELECT item_id, CASE WHEN length(headline) > 0 AND strpos(reverse(body_text), reverse(headline)) > 0 THEN substr(body_text, length(body_text) - strpos(reverse(body_text), reverse(headline)) + 2) ELSE body_text END AS t FROM raw_items WHERE body_text IS NOT NULL),
+    b AS (SELECT item_id, t, regexp_extract(t, '{_BYLINE_SQL}') AS line FROM a), c AS (SELECT item_id, CASE WHEN line <> '' THEN substr(t, strpos(t, line) + length(line)) ELSE t END AS t FROM b),
+    d AS (SELECT item_id, t, least("""
+    + ", ".join("CASE WHEN instr(substr(lower(t), 122), '{m}') > 0 THEN instr(substr(lower(t), 122), '{m}') + 121 END".format(m=m.replace("'", "''")) for m in html.TAIL_MARKERS)
+    + r""") AS cut FROM c), e AS (SELECT item_id, regexp_replace(CASE WHEN cut IS NOT NULL THEN substr(t, 1, cut - 1) ELSE t END, '^\s+|\s+$', '', 'g') AS b FROM d)
+    SELECT item_id, CASE WHEN length(b) >= 120 THEN substr(b, 1, 4000) END AS body FROM e"""
 )
 def t10_body_trimmed(spark, root):
     rows = table(spark, root, "raw_items").filter("body_text is not null")
-    body = F.substring(html.trim_tail(F.col("body_text")), 1, html.MAX_BODY)
-    return rows.select("item_id", F.when(F.length(body) >= html.MIN_BODY, body).alias("body"))
+    return rows.select("item_id", html.body_of(F.col("body_text"), F.col("headline")).alias("body"))
 
 
 @query("SELECT item_id, CASE WHEN len(string_split(h, ' ')) BETWEEN 3 AND 30 THEN h END AS title FROM (SELECT item_id, trim(regexp_replace(headline, '\\s+', ' ', 'g')) AS h FROM raw_items WHERE body_text IS NOT NULL)")
@@ -157,11 +161,6 @@ def t18_firm_find_first(spark, root):
     return gazetteer.first_hit(table(spark, root, "raw_items"), firm_index(spark, root), "item_id", "headline").select("item_id", "surface", "code")
 
 
-@query()
-def t18_firm_find_all(spark, root):
-    return gazetteer.hits(table(spark, root, "raw_items"), firm_index(spark, root), "item_id", "headline")
-
-
 @query(with_sql(INDEX_SQL) + "SELECT m.move_id, ix.code AS firm_id FROM (SELECT move_id, " + NORMAL_SQL.format(x="fields['to_firm'].value") + " AS s FROM extracted_moves) m JOIN ix ON ix.surface = m.s")
 def t18_firm_resolve(spark, root):
     rows = table(spark, root, "extracted_moves").select("move_id", gazetteer.normal(F.col("fields")["to_firm"]["value"]).alias("surface"))
@@ -187,8 +186,7 @@ def t19_place_find(spark, root):
 
 @query("SELECT role_id, nullif(trim(regexp_replace(regexp_replace(lower(coalesce(practice, '')), '[^a-z0-9&]+', ' ', 'g'), ' +', ' ', 'g')), '') AS phrase FROM role_parts")
 def t20_taxonomy_normalise(spark, root):
-    text = F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce("practice", F.lit(""))), "[^a-z0-9&]+", " "), " +", " "))
-    return table(spark, root, "role_parts").select("role_id", F.when(text != "", text).alias("phrase"))
+    return table(spark, root, "role_parts").select("role_id", taxonomy.normalise(F.col("practice")).alias("phrase"))
 
 
 _PRACTICE_SQL = "px AS (SELECT " + NORMAL_SQL.format(x="name") + " AS surface, 'g' || CAST((CAST(regexp_extract(ref_code, '([0-9]+)$', 1) AS INTEGER) - 1) // 7 AS VARCHAR) || '.' || lower(ref_code) AS code FROM ref_values WHERE kind = 'practice')"
@@ -253,25 +251,45 @@ def t22_classify_with_body(spark, root):
 
 @query()
 def t24_role_parse(spark, root):
-    return spans.parse_roles(table(spark, root, "role_parts"), "role_id", F.concat_ws(" in ", "title", "practice"))
+    return spans.parse_roles(table(spark, root, "role_parts"), "role_id", F.concat_ws(" in ", "title", "practice"), {place.lower(): code for code, place in PLACES.items()})
 
 
-@query(r"SELECT move_id, regexp_matches(t, '(?i)\b(?:partner|counsel|head|chair|director|principal)') AND NOT (regexp_matches(t, '(?i)\b(?:of counsel|(?:special|senior|legal) counsel|associate|trainee|legal director|director of)\b') AND NOT regexp_matches(t, '(?i)\bpartners?\b')) AS senior FROM (SELECT move_id, coalesce(fields['title_to'].value, '') AS t FROM extracted_moves)")
+@query(
+    r"""WITH t AS (SELECT move_id, lower(coalesce(fields['title_to'].value, '')) AS t FROM extracted_moves), g AS (SELECT move_id, t, replace(t, 'general counsel', 'general_c') AS u FROM t)
+    SELECT move_id, regexp_matches(t, '\b(?:partner|counsel|head|chair|managing|principal|director|(?:gc|clo|silk|kc|qc|sc)\b)') AND NOT (NOT regexp_matches(t, '\b(?:partners?(?:hip)?|principal)\b')
+    AND (regexp_matches(u, '\bcounsel\b') OR regexp_matches(replace(t, 'associate partner', ''), '\bassociate\b') OR regexp_matches(t, '\b(?:paralegal|trainee|secondee|graduate|intern|director of \w+|executive director|chief \w+ officer)\b'))) AS senior FROM g"""
+)
 def t26_senior_title(spark, root):
-    return table(spark, root, "extracted_moves").select("move_id", spans.is_senior(F.coalesce(F.col("fields")["title_to"]["value"], F.lit(""))).alias("senior"))
+    return table(spark, root, "extracted_moves").select("move_id", spans.is_senior(F.col("fields")["title_to"]["value"]).alias("senior"))
+
+
+_SPANS_SQL = "sp AS (SELECT m.move_id, e.key AS field_name, e.value.value AS v, e.value.span_start AS a, e.value.span_end AS b, coalesce(i.headline, '') || chr(10) || chr(10) || coalesce(i.body_text, '') AS t FROM (SELECT move_id, item_id, unnest(map_entries(fields)) AS e FROM extracted_moves) m JOIN raw_items i ON i.item_id = m.item_id)"
+
+
+def spanned(spark, root):
+    """Each field of a move with the whole text of its item."""
+    text = F.concat(F.coalesce("headline", F.lit("")), F.lit("\n\n"), F.coalesce("body_text", F.lit("")))
+    rows = table(spark, root, "extracted_moves").select("move_id", "item_id", F.explode("fields").alias("field_name", "f"))
+    return rows.join(table(spark, root, "raw_items").select("item_id", text.alias("t")), "item_id").select("move_id", "field_name", "f.*", "t")
 
 
 @query(
-    "SELECT item_id, quality FROM (SELECT i.item_id, CASE WHEN contains(substr(i.headline, 1, 20), v) THEN 'exact' WHEN contains(lower(i.headline), lower(v)) THEN 'recovered' ELSE 'dropped' END AS quality FROM (SELECT item_id, headline, lower(string_split(headline, ' ')[2]) AS v FROM raw_items) i WHERE v IS NOT NULL AND v <> '')"
+    "WITH " + _SPANS_SQL + r""", q AS (SELECT *, trim(v) AS w, '(?i)' || array_to_string(list_transform(regexp_split_to_array(trim(v), '\s+'), lambda x: regexp_escape(x)), '\s+') AS pattern FROM sp)
+    SELECT move_id, field_name, CASE WHEN v IS NULL OR w = '' THEN 'dropped' WHEN a >= 0 AND a < b AND b <= length(t) AND contains(lower(strip_accents(substr(t, a + 1, b - a))), lower(strip_accents(w))) THEN 'exact' WHEN contains(lower(t), lower(w)) OR regexp_matches(t, pattern) THEN 'recovered' ELSE 'dropped' END AS quality FROM q"""
 )
 def t27_span_verify(spark, root):
-    rows = table(spark, root, "raw_items").select("item_id", "headline", F.lower(F.get(F.split("headline", " "), F.lit(1))).alias("v")).filter("v is not null and v <> ''")
-    return rows.select("item_id", spans.verify(F.col("v"), F.lit(0), F.lit(20), F.col("headline"), fold=False)["quality"].alias("quality"))
+    """Every field of every move against the whole text of its item."""
+    return spanned(spark, root).select("move_id", "field_name", spans.verify(F.col("value"), F.col("span_start"), F.col("span_end"), F.col("t"))["quality"].alias("quality"))
+
+
+@query("WITH " + _SPANS_SQL + " SELECT move_id, field_name, CASE WHEN coalesce(trim(v) <> '' AND a >= 0 AND a < b AND b <= length(t), false) THEN 'exact' ELSE 'dropped' END AS quality FROM sp")
+def t27_span_verify_coded(spark, root):
+    return spanned(spark, root).select("move_id", "field_name", spans.verify_coded(F.col("value"), F.col("span_start"), F.col("span_end"), F.col("t"))["quality"].alias("quality"))
 
 
-@query(r"SELECT item_id, array_to_string(string_split(trim(regexp_replace(substr(body_text, 1, 160), '\s+', ' ', 'g')), ' ')[1:25], ' ') AS excerpt FROM raw_items WHERE body_text IS NOT NULL")
+@query("WITH " + _SPANS_SQL + r" SELECT move_id, field_name, array_to_string(string_split(trim(regexp_replace(substr(t, greatest(0, a - 60) + 1, b + 60 - greatest(0, a - 60)), '\s+', ' ', 'g')), ' ')[1:25], ' ') AS excerpt FROM sp")
 def t28_excerpt(spark, root):
-    return table(spark, root, "raw_items").filter("body_text is not null").select("item_id", spans.excerpt(F.col("body_text"), F.lit(0), F.lit(100)).alias("excerpt"))
+    return spanned(spark, root).select("move_id", "field_name", spans.excerpt(F.col("t"), F.col("span_start"), F.col("span_end")).alias("excerpt"))
 
 
 @query()
@@ -280,12 +298,10 @@ def t29_sentences(spark, root):
     return rows.select("doc_id", F.posexplode(spans.sentences(F.col("text"))).alias("place", "sentence"))
 
 
-@query("SELECT firm_id, alias, CASE WHEN regexp_matches(alias, '^[A-Z]{2,5}$') THEN 'abbreviation' WHEN contains(lower(canonical_name), lower(string_split(alias, ' ')[1])) THEN 'abbreviation' ELSE 'legacy' END AS alias_type FROM (SELECT firm_id, canonical_name, unnest(aliases) AS alias FROM firms)")
+@query("SELECT firm_id, alias, CASE WHEN (length(alias) <= 5 AND upper(alias) = alias AND lower(alias) <> alias) OR contains(canonical_name, list_filter(regexp_split_to_array(trim(alias), '\\s+'), lambda x: x <> '')[1]) THEN 'abbreviation' ELSE 'legacy_name' END AS alias_type FROM (SELECT firm_id, canonical_name, unnest(aliases) AS alias FROM firms)")
 def t30_alias_type(spark, root):
     rows = table(spark, root, "firms").select("firm_id", "canonical_name", F.explode("aliases").alias("alias"))
-    first = F.lower(F.get(F.split("alias", " "), F.lit(0)))
-    kind = F.when(F.col("alias").rlike("^[A-Z]{2,5}$"), "abbreviation").when(F.lower("canonical_name").contains(first), "abbreviation").otherwise("legacy")
-    return rows.select("firm_id", "alias", kind.alias("alias_type"))
+    return rows.select("firm_id", "alias", spans.alias_kind(F.col("canonical_name"), F.col("alias")).alias("alias_type"))
 
 
 def _gate_sql() -> str:

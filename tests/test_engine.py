@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from movelane.functions import confidence, gazetteer, html, names, spans, taxonomy
-from movelane.operators import dedupe, extraction, gate, integrity, upkeep
+from movelane.operators import dedupe, extraction, gate, integrity, slots, upkeep
 
 
 def test_name_keys(spark):
@@ -107,16 +107,114 @@ def test_group_moves_are_anchored_at_their_first_day(spark):
     assert got == [(dt.date(2025, 1, 1), 2, "SG"), (dt.date(2025, 3, 3), 2, "SG")]
 
 
-def test_extraction_templates():
-    firms = {"alder birchwood": "Alder & Birchwood", "cedar law": "Cedar Law"}
-    run = lambda h: extraction.from_headline(h, firms, extraction.compiled())
-    assert run("Alder & Birchwood hires Ada Example from Cedar Law") == [("Ada Example", "Alder & Birchwood", "Cedar Law", None, "lateral", "hires_from")]
-    assert [m[0] for m in run("Ada Example and Bo Sample join Cedar Law as partners")] == ["Ada Example", "Bo Sample"]
-    assert run("Cedar Law promotes Ada Example to partner")[0][1:5] == ("Cedar Law", "Cedar Law", "partner", "promotion")
-    assert run("Unknown Firm hires Ada Example from Cedar Law") == []
-    assert run("Cedar Law hires New Partner from Alder & Birchwood") == []
-    rules = [(n, __import__("re").compile(p)) for n, p in extraction.BODY_RULES]
-    assert extraction.from_body("Ada Example arrives from Alder & Birchwood, where Example spent 3 years. Ada Example joined as partner.", "Cedar Law", firms, rules) == [("Ada Example", "Cedar Law", "Alder & Birchwood", None, "lateral", "arrives_from")]
+def test_long_surfaces_match(spark):
+    long = "one two three four five six seven eight nine ten eleven"
+    index = spark.createDataFrame([(long, 1), ("two three", 2)], "surface string, code int")
+    texts = spark.createDataFrame([(1, "At " + long.title() + " today")], "id int, t string")
+    assert [(r.place, r.words, r.code) for r in gazetteer.hits(texts, index, "id", "t").collect()] == [(2, 11, 1)]
+    assert gazetteer.all_hits(texts, index.limit(0), "id", "t").count() == 0
+    look = gazetteer.fixed_lookup({"hong kong": "HK", "asia": None, "asia minor": "TR", "kong": "X"})
+    got = {r.t: r.c for r in spark.createDataFrame([("Hong Kong Kong",), ("Asia Asia Minor",), ("Asia",), (None,)], "t string").select("t", look(F.col("t")).alias("c")).collect()}
+    assert got == {"Hong Kong Kong": ["HK", "X"], "Asia Asia Minor": ["TR"], "Asia": [], None: []}
+
+
+def test_role_clauses(spark):
+    cases = {
+        "partner": ("partner", None, None), "co-head of its white-collar defence and investigations practice": ("co-head", "white-collar defence and investigations", None), "a partner in Sydney": ("partner", None, "AU"), "Managing Partner": ("managing partner", None, None),
+        "partner in charge of the firm's energy group to boost its bench": ("partner in charge", "energy", None), "head of South Asia practice": ("head", None, None), "senior equity partner in investment funds": ("senior equity partner", "investment funds", None), "advisor to the privacy practice": (None, "privacy", None), None: (None, None, None), "": (None, None, None),
+    }
+    rows = spark.createDataFrame([(k,) for k in cases], "k string")
+    got = {r.k: (r.title, r.practice, r.place) for r in spans.parse_roles(rows, "k", F.col("k"), {"sydney": "AU"}).collect()}
+    assert got == cases
+    senior = {"partner": True, "of counsel": False, "General Counsel": True, "special counsel and partner": True, "senior associate": False, "associate partner": True, "director of licensing": False, "director": True, "executive director": False, "co-head": True, "KC": True, "trainee": False, "": False, None: False, "chief operating officer": False}
+    assert {r.k: r.s for r in spark.createDataFrame([(k,) for k in senior], "k string").select("k", spans.is_senior(F.col("k")).alias("s")).collect()} == senior
+
+
+def test_person_slots(spark):
+    firms = spark.createDataFrame([("alder birchwood", 1), ("cedar", 2)], "surface string, code long")
+    fits = {"Ada Example": True, "Ada": False, "Alder Birchwood": False, "Alder Birchwood Tokyo Team": False, "Cedar Law": True, "Ada Tokyo": False, "Even Dozen": False, "Most Popular": False, "Ada 2 Example": False, "Private Equity": False, "Ada B C D E": False}
+    frame = spark.createDataFrame([(k,) for k in [*fits, None]], "p string")
+    assert {r.p for r in slots.fitting(frame, "p", firms, {"tokyo": "JP"}, ["private", "equity"]).collect()} == {k for k, v in fits.items() if v}
+    clean = {"Dr Ada Example": "Ada Example", "Share Ada Example": "Ada Example", "Tokyo Ada Example": "Ada Example", "Ada Example ada example": "Ada Example", "Share Ada": "Share Ada", "": "", "Tokyo": "Tokyo"}
+    got = {r.p: r.c for r in spark.createDataFrame([(k,) for k in clean], "p string").select("p", slots.cleaned(F.col("p"), {"tokyo": "JP"}).alias("c")).collect()}
+    assert got == clean
+
+
+FIRMS = [("alder birchwood", 1), ("cedar law", 2), ("elm", 3), ("elm fir", 4), ("the very long name of a firm that has many words", 5)]
+
+
+def extracted(spark, rows, entity=False):
+    items = spark.createDataFrame([(i, h, b, u, 2, "full_public", entity) for i, (h, b, u) in enumerate(rows)], "item_id long, headline string, body string, url string, tier int, access_level string, entity_slug boolean")
+    firms = spark.createDataFrame(FIRMS, "surface string, code long")
+    found = extraction.extract_moves(items, firms, {"tokyo": "JP", "hong kong": "HK"}, ["disputes", "private", "equity"]).collect()
+    out = {}
+    for r in sorted(found, key=lambda r: (r.item_id, r.slot)):
+        out.setdefault(r.item_id, []).append((r.person, r.to_firm, r.from_firm, r.title, r.practice, r.place, r.move_type))
+    return out
+
+
+def test_headline_moves(spark):
+    cases = [
+        ("Alder & Birchwood hires Ada Example from Cedar Law", [("Ada Example", 1, 2, None, None, None, "lateral")]),
+        ("ada example and bo sample join cedar law as partners", [("ada example", 2, None, "partners", None, None, "lateral"), ("bo sample", 2, None, "partners", None, None, "lateral")]),
+        ("Cedar Law promotes Ada Example to partner", [("Ada Example", 2, 2, "partner", None, None, "promotion")]),
+        ("Ada Example steps up as Cedar Law's new managing partner", [("Ada Example", 2, 2, "managing partner", None, None, "promotion")]),
+        ("Cedar Law hires disputes partner Ada Example in Tokyo", []),
+        ("Cedar Law hires disputes partner Ada Example", [("Ada Example", 2, None, None, None, None, "lateral")]),
+        ("Cedar Law appoints Dr Ada Example as co-head of its energy practice in Hong Kong", [("Ada Example", 2, None, "co-head", "energy", "HK", "lateral")]),
+        ("Cedar Law names Ada Example senior partner", [("Ada Example", 2, None, "senior partner", None, None, "lateral")]),
+        ("Cedar Law names Ada Example senior associate", []), ("Cedar Law appoints Ada Example as advisor to the board", []),
+        ("Ada Example, a veteran of the bar, jumps to Elm Fir", [("Ada Example", 4, None, None, None, None, "lateral")]),
+        ("Ada Example rejoins Elm from Nowhere LLP", []), ("Unknown Firm hires Ada Example from Cedar Law", []),
+        ("Cedar Law hires New Partner from Alder & Birchwood", []), ("Cedar Law opens with new partners Ada Example and Bo Sample", [("Ada Example", 2, None, None, None, None, "lateral"), ("Bo Sample", 2, None, None, None, None, "lateral")]),
+        ("Ada Example joins The Very Long Name of a Firm That Has Many Words", [("Ada Example", 5, None, None, None, None, "lateral")]), ("", []), (None, []),
+    ]
+    got = extracted(spark, [(h, None, None) for h, _ in cases])
+    assert {cases[i][0]: got.get(i, []) for i in range(len(cases))} == dict(cases)
+
+
+def test_body_moves(spark):
+    body = "The team grows. Ada Example arrives from Alder & Birchwood, where Example spent 3 years. She leads the disputes practice."
+    cases = [
+        ("Cedar Law grows", body, [("Ada Example", 2, 1, None, None, None, "lateral")]),
+        ("Cedar Law grows", "Former Elm Fir's partner Bo Sample starts today. Sample heads the tax team.", [("Bo Sample", 2, 4, None, "tax", None, "lateral")]),
+        ("Cedar Law grows", "It has appointed Bo Sample as partner in its Tokyo office.", [("Bo Sample", 2, None, "partner", None, None, "lateral")]),
+        ("Cedar Law grows", "It has appointed Bo Sample as senior associate.", []), ("Cedar Law grows", "The arrival of Bo Sample as special counsel was welcomed.", []),
+        ("Cedar Law grows", "This follows the arrival of Bo Sample.", []), ("Cedar Law grows", "Ada Example, Bo Sample and Cy Third have become the firm's newest partners.", [("Ada Example", 2, None, "partner", None, None, "lateral"), ("Bo Sample", 2, None, "partner", None, None, "lateral"), ("Cy Third", 2, None, "partner", None, None, "lateral")]),
+        ("Cedar Law grows", "The group is led by Bo Sample from Cedar Law.", [("Bo Sample", 2, 2, None, None, None, "promotion")]), ("Blow for Cedar Law as two exit", body, []), ("Nobody grows", body, []), ("Cedar Law grows", None, []),
+        ("Cedar Law takes Elm team in Hong Kong", "Bo Sample will join the firm.", [("Bo Sample", 2, 3, None, None, "HK", "lateral")]),
+    ]
+    got = extracted(spark, [(h, b, None) for h, b, _ in cases])
+    assert [got.get(i, []) for i in range(len(cases))] == [m for *_, m in cases]
+
+
+def test_headline_moves_are_completed_from_the_body(spark):
+    got = extracted(spark, [("Cedar Law hires Ada Example", "Example joins from Elm, where she heads its tax team. Bo Sample joins from Alder Birchwood.", None), ("Cedar Law hires Ada Example from Elm", "Ada Example joins from Alder Birchwood.", None)])
+    assert got == {0: [("Ada Example", 2, 3, None, "tax", None, "lateral")], 1: [("Ada Example", 2, 3, None, None, None, "lateral")]}
+
+
+def test_a_slug_that_names_someone_else(spark):
+    body = "Cedar Law said Bo Sample will join the firm. Ada Example joined the firm as partner."
+    url = "https://x.example/news/cedar-law-ada-example-tokyo"
+    assert [m[0] for m in extracted(spark, [("Cedar Law grows", body, url)], entity=True)[0]] == ["Ada Example"]
+    assert len(extracted(spark, [("Cedar Law grows", body, url)])[0]) == 2
+    assert len(extracted(spark, [("Cedar Law grows", body, "https://x.example/news/cedar-law-hires-in-tokyo")], entity=True)[0]) == 2
+
+
+def test_direction_of_firms(spark):
+    cases = {
+        "Alder Birchwood recruits 6 Cedar Law partners": (1, 2), "Cedar Law's chair jumps to Elm Fir": (4, 2), "Alder Birchwood adds trio from rival Cedar Law": (1, 2), "Former Elm practice head rejoins Cedar Law": (2, 3),
+        "Blow for Cedar Law as two partners exit": (None, 2), "Nobody moves": None, "Cedar Law hires": (2, None),
+    }
+    texts = spark.createDataFrame([(k,) for k in cases], "h string")
+    got = {r.h: (r.destination, r.origin) for r in extraction.firm_direction(texts, spark.createDataFrame(FIRMS, "surface string, code long"), "h", "h").collect()}
+    assert got == {k: v for k, v in cases.items() if v}
+
+
+def test_spans_recover_over_white_space_and_signs(spark):
+    rows = [("Bo (x) Y+", 0, 2, "see Bo\n(x)  Y+ there"), ("a\\Eb", 0, 1, "z a\\Eb"), ("SG", 0, 3, "x")]
+    got = [(r.q.quality, r.q.span_start, r.q.span_end) for r in spark.createDataFrame(rows, "v string, a int, b int, t string").select(spans.verify(F.col("v"), F.col("a"), F.col("b"), F.col("t")).alias("q")).collect()]
+    assert got == [("recovered", 4, 14), ("recovered", 2, 6), ("dropped", 0, 0)]
 
 
 def test_evaluation(spark):
