@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from movelane.functions.names import bracketed_alias, with_name_keys
-from movelane.session import cut_lineage
+from movelane.session import cut_lineage, release
 
 # The published weights, in ten-thousandths, and the window in days.
 MERGE, AMBIGUOUS, BASE = 8500, 6000, 8500
@@ -66,22 +66,38 @@ def score_pairs(pairs: DataFrame) -> DataFrame:
     return rows.select("move_id_a", "move_id_b", F.col("to_firm_id_a").alias("to_firm_id"), "days_apart", "given_label", (F.col("points").cast("decimal(9,4)") / 10000).cast("decimal(5,4)").alias("total"), decision.alias("decision"))
 
 
-def block_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(move_id, component) of the merge edges (move_id_a, move_id_b): the smallest id reached; edges stay in a block."""
-    both = cut_lineage(edges.select(F.col("move_id_a").alias("x"), F.col("move_id_b").alias("y")).unionByName(edges.select(F.col("move_id_b").alias("x"), F.col("move_id_a").alias("y"))).distinct())
-    labels = cut_lineage(both.groupBy("x").agg(F.least("x", F.min("y")).alias("label")))
-    for _ in range(rounds):
-        seen = both.join(labels.withColumnRenamed("x", "y"), "y").groupBy("x").agg(F.min("label").alias("near"))
-        jump = labels.select(F.col("x").alias("label"), F.col("label").alias("far"))
-        after = labels.join(seen, "x").join(jump, "label").select("x", F.least("label", "near", "far").alias("next"), "label")
-        after = cut_lineage(after)
-        changed = not after.filter("next < label").isEmpty()
-        labels = after.select("x", F.col("next").alias("label"))
-        if not changed:
-            break
-    else:
-        raise RuntimeError(f"components still change after {rounds} rounds")
-    return labels.select(F.col("x").alias("move_id"), F.col("label").alias("component"))
+def _roots(parents: DataFrame) -> DataFrame:
+    """(x, p) with every pointer moved on to the end of its chain: the length of chains halves at each turn."""
+    while True:
+        ahead = parents.select(F.col("x").alias("p"), F.col("p").alias("q"))
+        jumped = cut_lineage(parents.join(ahead, "p").select("x", F.col("q").alias("p"), (F.col("p") != F.col("q")).alias("moved")))
+        release(parents)
+        parents = jumped.select("x", "p")
+        if jumped.filter("moved").isEmpty():
+            return parents
+
+
+def block_components(edges: DataFrame) -> DataFrame:
+    """(move_id, component) of the merge edges (move_id_a, move_id_b): the smallest id reached.
+
+    Each node points to its smallest neighbour or itself, pointers are moved to their roots, and edges are contracted to
+    the roots; every round leaves fewer nodes, and it ends when no edge is left. An empty table has no components.
+    """
+    pairs = edges.filter("move_id_a <> move_id_b").select(F.col("move_id_a").alias("x"), F.col("move_id_b").alias("y"))
+    pairs = cut_lineage(pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
+    found = None
+    while not pairs.isEmpty():
+        roots = _roots(cut_lineage(pairs.groupBy("x").agg(F.least("x", F.min("y")).alias("p"))))
+        if found is None:
+            found = roots
+        else:
+            found = cut_lineage(found.join(roots.select(F.col("x").alias("p"), F.col("p").alias("q")), "p", "left").select("x", F.coalesce("q", "p").alias("p")))
+        left = pairs.join(roots.select("x", F.col("p").alias("px")), "x").join(roots.select(F.col("x").alias("y"), F.col("p").alias("py")), "y")
+        smaller = cut_lineage(left.filter("px <> py").select(F.col("px").alias("x"), F.col("py").alias("y")).distinct())
+        release(pairs)
+        pairs = smaller
+    found = pairs.select("x", F.col("y").alias("p")) if found is None else found
+    return found.select(F.col("x").alias("move_id"), F.col("p").alias("component"))
 
 
 def merged_records(moves: DataFrame, components: DataFrame, tiers: DataFrame, fields: list[str]) -> DataFrame:

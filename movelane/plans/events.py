@@ -105,7 +105,7 @@ def d04_components(spark, root):
 
 @query(_COMPONENTS_SQL + "SELECT move_id_a, move_id_b FROM dc WHERE decision = 'ambiguous' AND move_id_a NOT IN (SELECT move_id FROM cp) AND move_id_b NOT IN (SELECT move_id FROM cp)")
 def d05_ambiguous_left(spark, root):
-    scores = pair_scores(spark, root)
+    scores = cut_lineage(pair_scores(spark, root))
     merged = dedupe.block_components(scores.filter("decision = 'merge'")).select("move_id")
     rows = scores.filter("decision = 'ambiguous'").select("move_id_a", "move_id_b")
     return rows.join(merged, F.col("move_id_a") == F.col("move_id"), "left_anti").join(merged, F.col("move_id_b") == F.col("move_id"), "left_anti")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from movelane.functions.html import body_of, html_to_text, title_of
 from movelane.operators.upkeep import insert_absent
+from movelane.session import exists
 
 
 def parse_articles(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
@@ -16,16 +17,17 @@ def parse_articles(pages: DataFrame, url: str = "url", page: str = "html") -> Da
 
 
 class ArticleCache:
-    """url -> title and body in a folder; unreadable or missing counts as empty, a url is parsed once."""
+    """url -> title and body in a folder; a missing folder counts as empty, a url is parsed once.
+
+    A folder that cannot be read raises: taken for empty, everything in it would be parsed and appended again.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def read(self) -> DataFrame:
-        try:
-            return self.spark.read.schema("url string, title string, body string").parquet(self.folder)
-        except Exception:  # an absent folder and a broken one alike
-            return self.spark.createDataFrame([], "url string, title string, body string")
+        schema = "url string, title string, body string"
+        return self.spark.read.schema(schema).parquet(self.folder) if exists(self.spark, self.folder) else self.spark.createDataFrame([], schema)
 
     def add(self, pages: DataFrame) -> DataFrame:
         """Parses the pages that the cache lacks, appends them, and returns the articles of all given urls."""

@@ -6,6 +6,7 @@ left to whatever fills the folder.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from movelane.functions.html import strip_tags, unescape
 from movelane.operators.timestamps import normalise_timestamps
+from movelane.session import files_of
 
 MAX_SUMMARY = 4000
 SCHEMA = "file string, place int, url string, title string, published string, updated string, summary string, error string"
@@ -66,15 +68,19 @@ def parse_files(files: DataFrame) -> DataFrame:
     return files.select("file", "value").mapInArrow(run, SCHEMA)
 
 
-def read_feeds(spark: SparkSession, paths: list[str] | str, since: str | None = None, access: str = "summary", zone: str = "UTC", date_order: str = "DMY") -> DataFrame:
+def read_feeds(spark: SparkSession, paths: list[str] | str, since: str | None = None, access: str = "summary", zone: str = "UTC", date_order: str = "DMY", strict: bool = False) -> DataFrame:
     """Items (file, url, headline, published_at, published_at_is_estimated, body_text) of feed files.
 
     Entries without link or title are skipped, entries published before ``since`` too; the date is the published, else
     the updated one, else the time of reading as an estimate. The body is the first stated content, tags stripped, at
-    most MAX_SUMMARY characters; none where ``access`` is headline_only. A url comes once, from the first file.
+    most MAX_SUMMARY characters; none where ``access`` is headline_only. A url comes once, from the first file. A file that
+    is no XML is left out and listed by ``broken_files``; with ``strict`` it raises when it is read.
     """
     files = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    rows = parse_files(files).filter("url <> '' and title <> ''").withColumn("stamp", F.coalesce("published", "updated"))
+    parsed = parse_files(files)
+    if strict:
+        parsed = parsed.filter(F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.lit("no feed: "), "file", F.lit(": "), "error")).cast("boolean")).otherwise(F.lit(True)))
+    rows = parsed.filter("url <> '' and title <> ''").withColumn("stamp", F.coalesce("published", "updated"))
     rows = normalise_timestamps(rows, "stamp", F.lit(zone), F.lit(date_order))
     body = F.when(F.lit(access) != "headline_only", F.substring(strip_tags(unescape(F.col("summary"))), 1, MAX_SUMMARY))
     items = rows.select("file", "place", "url", strip_tags(unescape(F.col("title"))).alias("headline"), F.coalesce(F.timestamp_micros("utc_micros"), F.current_timestamp()).alias("published_at"), F.col("utc_micros").isNull().alias("published_at_is_estimated"), F.when(body != "", body).alias("body_text"))
@@ -90,6 +96,12 @@ def broken_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     return parse_files(files).filter("error is not null").select("file", "error")
 
 
+def _full_path(spark: SparkSession, path: str) -> str:
+    """``path`` as the files of a scan are named, so that pages of one name in two folders stay two."""
+    files, where = files_of(spark, path)
+    return re.sub("^file:/+", "file:/", files.makeQualified(where).toString())
+
+
 def read_pages(spark: SparkSession, pages: list[str], since: str | None = None, max_pages: int = 20, **options) -> DataFrame:
     """Items of the numbered pages of one feed, newest first, up to the page on which the stop rule holds.
 
@@ -98,8 +110,8 @@ def read_pages(spark: SparkSession, pages: list[str], since: str | None = None,
     """
     if since is None:
         return read_feeds(spark, pages[:1], None, **options)
-    order = spark.createDataFrame([(p.rsplit("/", 1)[-1], i) for i, p in enumerate(pages[:max_pages])], "name string, page int")
-    items = read_feeds(spark, pages[:max_pages], None, **options).withColumn("name", F.element_at(F.split("file", "/"), -1))
+    order = spark.createDataFrame([(_full_path(spark, p), i) for i, p in enumerate(pages[:max_pages])], "name string, page int")
+    items = read_feeds(spark, pages[:max_pages], None, **options).withColumn("name", F.regexp_replace("file", "^file:/+", "file:/"))
     newest = items.groupBy("name").agg(F.max("published_at").alias("newest"))
     stops = order.join(newest, "name", "left").filter(F.col("newest").isNull() | (F.col("newest") < F.lit(since).cast("timestamp"))).agg(F.coalesce(F.min("page"), F.lit(max_pages)).alias("stop"))
     kept = order.join(F.broadcast(stops), F.col("page") < F.col("stop")).select("name")

@@ -15,6 +15,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from movelane.operators.gate import language_gate
 from movelane.operators.upkeep import insert_absent
+from movelane.session import exists
 
 LATENESS = "14 days"
 STREAK_STATE, STREAK_ROWS = "streak int", "source string, at timestamp, streak int"
@@ -93,10 +94,7 @@ def store(spark: SparkSession, folder: str):
     """A foreachBatch sink that appends the rows whose url the folder lacks; running a batch again appends nothing."""
 
     def write(batch: DataFrame, number: int) -> None:
-        try:
-            held = spark.read.parquet(folder).select("url")
-        except Exception:  # nothing stored yet
-            held = spark.createDataFrame([], "url string")
+        held = spark.read.parquet(folder).select("url") if exists(spark, f"{folder}/_SUCCESS") else spark.createDataFrame([], "url string")
         insert_absent(held, batch, "url", [c for c in batch.columns if c != "url"][:1]).write.mode("append").parquet(folder)
 
     return write

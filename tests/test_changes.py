@@ -58,22 +58,76 @@ def test_empty_tables(spark):
     assert changes.ingested_by_run(items, runs.limit(0)).count() == 0
 
 
+def test_a_hot_url_is_spread_over_tasks(spark):
+    items = [(i, 1, "hot", bytes([i // 3 % 5]), at(i // 10)) for i in range(500)]
+    runs = [("r", 1, "ingest", "succeeded", at(1000), at(1001))]
+    frame = spark.createDataFrame(items, ITEMS)
+    for parts in (1, 2, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        got = {(r.run_id, r.item_id) for r in changes.ingested_by_run(frame.repartition(3), spark.createDataFrame(runs, RUNS)).collect()}
+        assert got == brute(items, runs)
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert {r.reason: r.rows for r in changes.unplaced(spark.createDataFrame([(1, 1, "u", b"a", None), (2, None, "u", b"a", at(1)), (3, 1, "u", b"a", at(1))], ITEMS)).collect()} == {"no arrival": 1, "no partition": 1}
+
+
+def test_run_ranges_survive_a_failure_between_sink_and_commit(spark, tmp_path, monkeypatch):
+    items = spark.createDataFrame([(1, 1, "a", b"x", at(1)), (2, 1, "a", b"y", at(2)), (3, 1, "a", b"y", at(3))], ITEMS)
+    runs = spark.createDataFrame([("r", 1, "ingest", "succeeded", at(5), at(6))], RUNS)
+    folder, whole = str(tmp_path / "b"), changes.DurableBatches._commit
+
+    def lost(self, batch):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(changes.DurableBatches, "_commit", lost)
+    with pytest.raises(RuntimeError):
+        changes.ingested_by_run(items, runs, folder)
+    monkeypatch.setattr(changes.DurableBatches, "_commit", whole)
+    # A run logged since is not part of the plan that was written; the replay sinks each row once.
+    more = runs.unionByName(spark.createDataFrame([("s", 1, "ingest", "succeeded", at(2), at(9))], RUNS))
+    assert sorted((r.run_id, r.item_id) for r in changes.ingested_by_run(items, more, folder).collect()) == [("r", 1), ("r", 2)]
+    assert spark.read.parquet(folder + "/sink").count() == 2
+
+
 def test_reader_replays_its_plan_after_a_failure(spark, tmp_path):
-    first = [(1, 1, "a", b"x", at(1)), (2, 1, "b", b"x", at(2)), (3, 2, "c", b"x", at(2))]
-    later = [(4, 1, "d", b"x", at(5)), (5, 3, "e", b"x", at(1))]
-    last = [(6, 2, "f", b"x", at(9))]
-    log = lambda rows: spark.createDataFrame(rows, ITEMS)
-    reader = changes.IncrementalReader(spark, str(tmp_path / "log"))
-    assert {r.item_id for r in reader.run(log(first)).collect()} == {1, 2, 3}
+    log = changes.ChangeLog(spark, str(tmp_path / "log"))
+    rows = lambda *r: spark.createDataFrame(list(r), ITEMS)
+    reader = lambda: changes.IncrementalReader(log, str(tmp_path / "state"))
+    assert reader().run() is None
+    log.append(rows((1, 1, "a", b"x", at(1)), (2, 1, "b", b"x", at(2)), (3, 2, "c", b"x", at(2))))
+    assert {r.item_id for r in reader().run().collect()} == {1, 2, 3}
+    # Written late with an early time, of no campaign, without a time: positions order them all.
+    log.append(rows((4, 1, "d", b"x", at(0)), (5, 3, "e", b"x", at(1)), (6, None, "f", b"x", None)))
 
     def broken(frame):
         raise RuntimeError("executor lost")
 
     with pytest.raises(RuntimeError):
-        reader.run(log(first + later), broken)
+        reader().run(broken)
+    log.append(rows((7, 2, "g", b"x", at(9)), (7, 2, "g", b"x", at(9))))
     # The plan was written ahead: what arrived since the failure waits for the next batch.
-    again = changes.IncrementalReader(spark, str(tmp_path / "log"))
-    assert {r.item_id for r in again.run(log(first + later + last)).collect()} == {4, 5}
-    assert {r.item_id for r in again.run(log(first + later + last)).collect()} == {6}
-    assert again.run(log(first + later + last)).count() == 0
-    assert sorted(r.item_id for r in spark.read.parquet(str(tmp_path / "log" / "sink")).collect()) == [1, 2, 3, 4, 5, 6]
+    assert {r.item_id for r in reader().run().collect()} == {4, 5, 6}
+    assert [r.item_id for r in reader().run().collect()] == [7, 7]
+    assert reader().run().count() == 0
+    assert sorted(r.item_id for r in spark.read.parquet(str(tmp_path / "state" / "sink")).collect()) == [1, 2, 3, 4, 5, 6, 7, 7]
+
+
+def test_a_failure_between_sink_and_commit_repeats_nothing(spark, tmp_path, monkeypatch):
+    log = changes.ChangeLog(spark, str(tmp_path / "log"))
+    log.append(spark.createDataFrame([(1, 1, "a", b"x", at(1))], ITEMS))
+    reader = changes.IncrementalReader(log, str(tmp_path / "state"))
+    reader.run()
+    log.append(spark.createDataFrame([(2, 1, "b", b"x", at(0))], ITEMS))
+    whole = changes.DurableBatches._commit
+    monkeypatch.setattr(changes.DurableBatches, "_commit", lambda self, batch: (_ for _ in ()).throw(RuntimeError("driver lost")))
+    with pytest.raises(RuntimeError):
+        reader.run()
+    monkeypatch.setattr(changes.DurableBatches, "_commit", whole)
+    assert [r.item_id for r in changes.IncrementalReader(log, str(tmp_path / "state")).run().collect()] == [2]
+    assert sorted(r.item_id for r in spark.read.parquet(str(tmp_path / "state" / "sink")).collect()) == [1, 2]
+
+
+def test_only_new_segments_are_opened(spark, tmp_path):
+    log = changes.ChangeLog(spark, str(tmp_path / "log"))
+    for i in range(4):
+        log.append(spark.createDataFrame([(i, 1, "a", b"x", at(1))], ITEMS))
+    assert {f.rsplit("/", 2)[1] for f in log.read(1, 2).inputFiles()} == {"segment=00000002"}

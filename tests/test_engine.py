@@ -90,6 +90,9 @@ def test_pair_scores(spark):
     assert (1, 6) not in got and (1, 7) not in got and (2, 6) in got
     parts = {r.move_id: r.component for r in dedupe.block_components(spark.createDataFrame([(1, 2), (2, 5), (7, 8)], "move_id_a long, move_id_b long")).collect()}
     assert parts == {1: 1, 2: 1, 5: 1, 7: 7, 8: 7}
+    chain = [(i, i + 1) for i in range(0, 3000)] + [(5, 5)]
+    assert dedupe.block_components(spark.createDataFrame(chain, "move_id_a long, move_id_b long")).filter("component <> 0").count() == 0
+    assert dedupe.block_components(spark.createDataFrame([], "move_id_a long, move_id_b long")).count() == 0
 
 
 def test_merge_keeps_what_loses(spark):
