@@ -1,10 +1,12 @@
 """Template residue and error-page text.
 
-Placeholders are found by grammars, one per delimiter, so that brackets of ordinary prose (quotations, sets, citations,
-strings special to a tokenizer) are none. Text in code is taken out first, and a placeholder in a sentence that
-speaks of placeholders (as a tutorial does) is discounted. Filler is found by the phrases
-that writers leave behind and by runs of filler words. Error pages and script notices count only where little else is
-left: each sentence of a text is cue, furniture or content, and the share of content decides.
+Placeholders are found by grammars, one per delimiter, each read up to its closing delimiter however far that is, so
+that brackets of ordinary prose (quotations, sets, citations, strings special to a tokenizer) are none. What surrounds a
+placeholder discounts it: code, quotation marks around it, a sentence that names the machinery of templates, or, in a
+text that does so repeatedly, a sentence that shows one. One common word never does. Filler is found by the phrases
+that writers leave behind and by runs of filler words, unless a sentence quotes them as such. Error pages and script
+notices count only where little else is left: each sentence of a text is cue, furniture or content, and the share of
+content decides; texts no phrase fits are scored by how densely they speak of failing.
 
 All of it is JVM expressions over one row: no shuffle, no Python.
 """
@@ -14,33 +16,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_FIELD = r"[A-Za-z_][\w.\- ]{0,60}"
+from movelane.functions.text import reused
+
+_FIELD = r"[A-Za-z_][\w.\- ]*"
 # One grammar per delimiter.
 GRAMMARS = {
-    "double braces": r"\{\{\{?\s*[#/^>!&]?\s*[A-Za-z_][^{}\n]{0,60}?\}\}",
-    "block tag": r"\{%-?\s*\w[^%\n]{0,80}%\}",
-    "scriptlet": r"<%[=#\-]?\s*\w[^\n>]{0,60}%>",
-    "dollar braces": r"\$\{\s*[A-Za-z_][\w.\-]{0,60}\s*\}",
-    "hash braces": r"#\{\s*[A-Za-z_][\w.\-]{0,60}\s*\}",
+    "double braces": r"\{\{\{?\s*[#/^>!&]?\s*[A-Za-z_][^{}\n]*\}\}",
+    "block tag": r"\{%-?\s*\w[^%\n]*(?:%(?!\})[^%\n]*)*%\}",
+    "scriptlet": r"<%[=#\-]?\s*\w[^\n>]*%>",
+    "dollar braces": r"\$\{\s*[A-Za-z_][\w.\-]*\s*\}",
+    "hash braces": r"#\{\s*[A-Za-z_][\w.\-]*\s*\}",
     "single braces": r"\{(?:\d{1,2}|[a-z]+(?:[A-Z][a-z]+)+|[a-z]+(?:_[a-z]+)+|[A-Z]{2,}(?:_[A-Z]+)*|(?:first|last|full)? ?(?:name|firm|title|date|city|office|email|company|partner|client|headline|author))\}",
     "double brackets": r"\[\[\s*" + _FIELD + r"\]\]",
     "double angles": r"<<\s*" + _FIELD + r">>",
-    "escaped angles": r"&lt;\s*[A-Za-z_][\w \-]{0,40}&gt;",
-    "percent signs": r"%[A-Z][A-Z0-9]*(?:_[A-Z0-9]+)+%|%%[A-Za-z_]{2,40}%%|%\([a-z_]{2,40}\)s",
+    "escaped angles": r"&lt;\s*[A-Za-z_][\w \-]*&gt;",
+    "percent signs": r"%[A-Z][A-Z0-9]*(?:_[A-Z0-9]+)+%|%%[A-Za-z_]{2,}%%|%\([a-z_]{2,}\)s",
     "underscores": r"__[A-Z][A-Z0-9]*(?:_[A-Z0-9]+)*__",
     "at signs": r"@@[A-Z][A-Z0-9_]*@@",
     "list marks": r"\*\|[A-Z][A-Z0-9_:]*\|\*",
-    "named brackets": r"\[(?:(?:[A-Z][a-z]+ ){0,3}(?:Name|Title|Date|City|Office|Email|Address|Company|Quote|Surname|Number|Firm|Practice)(?: Here)?|[A-Z]{3,}(?:[ _-][A-Z]+)+|(?:(?:INSERT|ADD|ENTER|YOUR|PLACEHOLDER|REPLACE|TO COME|Insert|Add|Enter|Your)\b|T[BK][ACD]?\b:?)[^\[\]\n]{0,80})\]",
-    "object": r"\[object [A-Z]\w*\]|\[object [^\[\]\n]{1,40} Object\]",
+    "named brackets": r"\[(?:(?:[A-Z][a-z]+ ){0,3}(?:Name|Title|Date|City|Office|Email|Address|Company|Quote|Surname|Number|Firm|Practice)(?: Here)?|[A-Z]{3,}(?:[ _-][A-Z]+)+|(?:(?:INSERT|ADD|ENTER|YOUR|PLACEHOLDER|REPLACE|TO COME|Insert|Add|Enter|Your)\b|T[BK][ACD]?\b:?)[^\[\]\n]*|(?:(?:the|your|client|customer|recipient|first|last|full|company|firm|partner|event|author|contact|sender|job)[ _-])+(?:name|title|date|city|office|email|address|phone|company|quote|surname|number|firm|practice|amount|department|position|country))\]",
+    "object": r"\[object [A-Z]\w*\]|\[object [^\[\]\n]+ Object\]",
     "format letter": r"%[sd](?<![\w%]%[sd]|\d %[sd])(?![\w%])",
-    "unset value": r"undefined(?<![\w\"'“‘]undefined)(?<!\b(?:is|was|were|are|be|been|being|left|remain|remains|remained|an|legally|deliberately|otherwise|simply|currently|and|or|as|itself) undefined)(?![\"'”’A-Za-z]| (?:terms?|variables?|behaviou?rs?|values?|in the|by the|by any))",
+    "unset value": r"undefined(?<![\w\"'“‘]undefined)(?<!\b(?:is|was|were|are|be|been|being|left|remain|remains|remained|an|legally|deliberately|otherwise|simply|currently|and|or|as|itself) undefined)(?<!\b[a-z]{2,20}ly undefined)(?![\"'”’A-Za-z]| (?:terms?|variables?|behaviou?rs?|values?|in the|by the|by any))",
 }
 PLACEHOLDER = r"(?=[{\[<$#%_@*&u])(?:" + "|".join(f"(?:{g})" for g in GRAMMARS.values()) + ")"
-# Words by which a sentence speaks of placeholders instead of holding one.
-_TUTORIAL = r"(?i)\b(?:syntax|template language|templating|placeholders?|merge fields?|mail merge|curly brac\w+|delimiters?|variables? (?:such as|like|named|called)|write|writes|written as|typed?|renders?|interpolat\w+|documentation|tutorial|for example|e\.g\.)\b"
+# Words that name the machinery of templates: a sentence with one speaks of placeholders instead of holding one.
+_MACHINERY = r"(?i)\b(?:syntax|template language|templating|templates? engine|placeholders?|merge (?:fields?|tags?)|mail merge|curly brac\w+|delimiters?|variables? (?:such as|like|named|called)|interpolat\w+|escap(?:e|ed|ing) sequences?|documentation|tutorial)\b"
+# Words by which a sentence may show one; they count only in a text that names the machinery, or with each other.
+_SHOWS = r"(?i)\b(?:write|writes|written as|typed?|types|renders?|prints?|outputs?|looks? like|for example|for instance|e\.g\.|such as)\b"
+#: A text that names the machinery this often is about it.
+ABOUT = 2
+_QUOTED = r"[\"“«‘`]\s*(?:%s)\s*[\"”»’`]"
 _CODE = r"(?s)```.*?```|`[^`\n]+`|(?m)(?:^(?: {4,}|\t+)(?:[^\s]+[ \t]*){1,6}$)"
 
-# Phrases left where text was to come. A line that is nothing else is filler. Lower case; blanks only as "\ ".
+# Phrases left where text was to come. A line that is nothing else is filler. Lower case; blanks only as "\ ".
 FILLER = r"""(?m)^[^\w\n]*(?:
  (?:text|copy|story|article|body|more\ text|content|caption|details?)\ to\ (?:come|follow) | (?:your\ |the\ )?(?:\w+\ )?(?:headline|copy|text|caption|title|story|body|quote|content|standfirst)s?\ goes?\ here
  | (?:insert|write|type|put|add|enter|paste)\ (?:your\ |the\ |a\ )?(?:\w+\ ){0,2}(?:here|quote|text|copy|body|headline|article|story)(?:\ here)? | replace\ this\ text\b.*
@@ -49,11 +58,14 @@ FILLER = r"""(?m)^[^\w\n]*(?:
  | 此处(?:填写|输入|插入).{0,20} | 占位(?:文本|符).{0,10} | (?:正文|内容)待(?:补充|定)
  | (?:test|blah|bla|asdf\w*|foo|qwerty\w*|x{3,}|jkl|lorem)(?:[\ ,]+(?:test|blah|bla|asdf\w*|foo|bar|qwerty\w*|x+|jkl|ipsum))+ | story\ text | body\ text | tk(?:\ ?tk)+ | [\dx]+\ words\ on\ .{1,40} | .{0,40}\bdo\ not\ publish\b.*
 )[^\w\n]*$"""
-# The words of the usual nonsense Latin; ordinary prose has no run of them.
+# The words of the usual nonsense Latin; ordinary prose has no run of them.
 _LATIN = "lorem|ipsum|dolor|sit|amet|consectetur|adipiscing|elit|sed|do|eiusmod|tempor|incididunt|ut|labore|et|dolore|magna|aliqua|enim|ad|minim|veniam|quis|nostrud|exercitation|ullamco|laboris|nisi|aliquip|ex|ea|commodo|consequat|duis|aute|irure|in|reprehenderit|voluptate|velit|esse|cillum|eu|fugiat|nulla|pariatur|excepteur|sint|occaecat|cupidatat|non|proident|sunt|culpa|qui|officia|deserunt|mollit|anim|id|est|laborum"
 LATIN_RUN = rf"(?i)\b(?:{_LATIN})(?:[\s,.;]+(?:{_LATIN})){{5,}}\b"
 
-# What servers and gates say, each in one line. Lower case; blanks only as "\ ".
+# Sentences that speak of filler: its words quoted in one of them are none.
+_SPEAKS = r"(?i)\b(?:placeholder|dummy|filler|specimen|typeset\w*|printers?|nonsense|phrase|words|example|known as|begins?|reads?)\b"
+
+# What servers and gates say, each in one line. Lower case; blanks only as "\ ".
 ERROR = r"""
  ^\W*(?:error|http|fehler|erreur|status)?\W*[45]\d\d\b(?!\ (?:lawyers|partners|million|per|page\ on))(?=\W*$|\W{1,4}\w+(?:\ \w+){0,4}\W*$|\W+(?:no|the|page|your|our|you|we|this|something|an?|please|too|access|checking|reading|it|that)\b)
  | \b(?:page|story|url|item|resource|content|link|address|file|article)\b.{0,40}\b(?:not\ found|could\ not\ be|cannot\ be|can't\ be|no\ longer\ at|has\ moved|never\ existed|been\ withdrawn|is\ broken|may\ be\ old|does\ not\ exist|doesn't\ exist|is\ gone|is\ unavailable|is\ not\ available)\b
@@ -69,7 +81,7 @@ SCRIPT = r"""
  | \b(?:javascript|js|scripts?|scripting)\b.{0,60}\b(?:required|disabled|blocked|switched\ (?:off|on)|turn(?:ed)?\ (?:it\ )?on|enabled?|is\ allowed|erforderlich|nécessaire|necesario|aktivieren|activer)\b
  | \bblocks\ scripts\b | \bnoscript\b | only\ works\ with\ (?:javascript|js|active\ scripting|scripting)\b | 启用\ ?javascript"""
 FURNITURE = r"""
- ^.{0,200}\ [|›·]\ | ^\S.{0,60}\ {2,}\S.{0,200}$ | ^\W*© | all\ rights\ reserved\W*$ | terms\ of\ use | registered\ office\ and | is\ published\ from | printed\ and\ published | independent\ press\ panel | images\ supplied\ by | ^\W*design: | ^\W*build\ \d | popular\ searches | contact\ the\ newsdesk
+ ^.*\ [|›·]\ | ^\S.{0,60}\ {2,}\S.{0,200}$ | ^\W*© | all\ rights\ reserved\W*$ | terms\ of\ use | registered\ office\ and | is\ published\ from | printed\ and\ published | independent\ press\ panel | images\ supplied\ by | ^\W*design: | ^\W*build\ \d | popular\ searches | contact\ the\ newsdesk
  | ^\W*(?:return\ to|go\ back|back\ to)\b.{0,40}$ | ^\W*(?:try|please\ try)\b.{0,60}\b(?:again|later|search)\b | enable\ it\ under | ^\W*(?:incident|reference|ray|request\ id|proxy|error\ code|node|code)\b.{0,40}$ | keeps\ happening | ^\W*quote\ (?:reference\ )?\S+ | ^\W*[\w-]*\d[\w-]*\W*$ | ^\W*loading\W*$ | report\ a\ problem
  | experience\ turn\ it\ on | page\ needs\ it\ to | this\ takes\ a\ moment | réessayer | prüfen\ sie\ die\ adresse | ^\W*.{0,60}\ come\ back\W*$ | change\ your\ browser\ settings | if\ nothing\ happens | will\ be\ back | and\ reload\W*$ | write\ to\ the\ help\ desk | is\ legal\ advice | take\ advice\ on\ their\ own | accepts?\ no\ liability | ^.{0,3}$ | newsroom\W*$ | ^\W*(?:ltd|l\.l\.p|llp|co|pte)\W*$ | turn\ it\ on\ to\ continue"""
 
@@ -100,14 +112,25 @@ def _scan(pattern: str) -> str:
 _FILLER, _ERROR, _SCRIPT, _FURNITURE = map(_pattern, (FILLER, ERROR, SCRIPT, FURNITURE))
 _CUE = f"(?m)(?:{_scan(_ERROR + '|' + _SCRIPT)})"
 _NO_CONTENT = f"(?m)^(?=.*?(?:{_ERROR}|{_SCRIPT}|{_FURNITURE})).*$"
-_HEADINGS = r"^\s*(?:[^\n]{1,250}[^\n.!?。！？\"”»]\n+){1,2}(?=\S)"
+_HEADINGS = r"^\s*(?:[^\n]+[^\n.!?。！？\"”»]\n+){1,2}(?=\S)"
 #: A notice stands in place of content if content is at most this share of the text's characters.
 CONTENT_SHARE = 0.3
+# What pages that fail speak of, whatever their phrases: the failure, what failed, and what to do about it.
+FAILURES = r"\b(?:errors?|fail(?:ed|s|ure)|problems?|went wrong|not (?:found|available|exist|load(?:ed|ing)?|respond(?:ing)?|supported|permitted|allowed|authori[sz]ed)|isn't available|aren't available|cannot|can't|couldn't|could not|unable to|un(?:available|reachable|expected|supported)|denied|forbidden|expired|timed? ?-?out|too long|moved|missing|broken|blocked|disabled|offline|down for|maintenance|overloaded|busy|unusual|suspicious)\b"
+MACHINES = r"\b(?:server|page|url|link|address|site|website|request|response|connection|network|gateway|browser|javascript|scripts?|cookies?|session|captcha|robots?|firewall|host|domain|resource|content|access|permission|login|sign-?in|account)\b"
+REMEDIES = r"\b(?:try again|refresh|reload|go back|return to|come back|check (?:the|your)|clear your|contact (?:the|us|your|support)|log ?in|sign in|enable|turn on|switch on|wait|later|shortly|moment|retry|home ?page|search)\b"
+#: A text without a known phrase is a notice if it has all three kinds and at least this many of them a word.
+DENSITY = 1 / 3
+#: No notice is longer: one that says it in so many words is an article.
+LONGEST_NOTICE = 600
 
 
 def one_per_line(text: Column) -> Column:
     """The text in lower case with each sentence on a line of its own."""
-    return F.regexp_replace(F.lower(text), r"[ \t\r ]*\n\s*|(?<=[.!?])[  ]+(?=\S)|(?<=[。！？])", "\n")
+    ended = F.regexp_replace(F.lower(text), r"([.!?])[  ]+(?=\S)", "$1\n")
+    for stop in "。！？":
+        ended = F.replace(ended, F.lit(stop), F.lit(stop + "\n"))
+    return F.regexp_replace(ended, r"\n\s+", "\n")
 
 
 def without_code(text: Column) -> Column:
@@ -115,29 +138,59 @@ def without_code(text: Column) -> Column:
 
 
 def has_placeholder(text: Column) -> Column:
-    """True if a placeholder stands outside code, in a sentence that does not speak of placeholders."""
-    lines = F.split(without_code(text), r"\n+|(?<=[.!?])\s+")
-    return text.rlike(PLACEHOLDER) & F.exists(lines, lambda s: s.rlike(PLACEHOLDER) & ~s.rlike(_TUTORIAL))
+    """True if a placeholder stands outside code and quotation marks, in a sentence that does not speak of placeholders.
+
+    A sentence speaks of them if it names the machinery of templates; one that only shows (writes, for example) does so
+    in a text that names the machinery ABOUT times or more.
+    """
+
+    def unfilled(bare: Column) -> Column:
+        sentences = F.split(bare, r"\n+|(?<=[.!?])\s+")
+        about = F.size(F.regexp_extract_all(bare, F.lit(_MACHINERY), F.lit(0))) >= ABOUT
+        return F.exists(sentences, lambda s: s.rlike(PLACEHOLDER) & ~s.rlike(_MACHINERY) & ~(about & s.rlike(_SHOWS)))
+
+    # Few texts have any; only those are taken apart.
+    return text.rlike(PLACEHOLDER) & reused(F.regexp_replace(without_code(text), _QUOTED % PLACEHOLDER, " "), unfilled)
+
+
+def _latin(text: Column) -> Column:
+    """True if a run of filler words stands in a sentence that does not quote it as such."""
+    return text.rlike(LATIN_RUN) & F.exists(F.split(text, r"\n+"), lambda s: F.regexp_replace(s, r"[\"“«‘][^\"“”«»]*[\"”»’]", " ").rlike(LATIN_RUN) | (s.rlike(LATIN_RUN) & ~s.rlike(_SPEAKS)))
+
+
+def _filler(text: Column, lines: Column) -> Column:
+    return _latin(text) | F.when(F.contains(lines, F.lit(" / ")), F.regexp_replace(lines, r" +/ +", "\n")).otherwise(lines).rlike(_FILLER)
+
+
+def _dense(lines: Column) -> Column:
+    """True if a short text is dense in words of failing, of what fails and of remedies."""
+    kinds = [F.array_distinct(F.regexp_extract_all(lines, F.lit(k), F.lit(0))) for k in (FAILURES, MACHINES, REMEDIES)]
+    hits = sum((F.size(k) for k in kinds), F.lit(0))
+    return F.length(lines).between(20, LONGEST_NOTICE) & (F.array_min(F.array(*map(F.size, kinds))) > 0) & (hits >= DENSITY * F.size(F.split(F.trim(lines), r"\s+")))
+
+
+def _notice(lines: Column) -> Column:
+    def little(under: Column) -> Column:
+        return F.length(F.regexp_replace(F.regexp_replace(under, _NO_CONTENT, ""), r"\s+", " ")) <= CONTENT_SHARE * F.length(lines)
+
+    # Headings (up to two leading lines that end no sentence) are not what a page is for.
+    return (lines.rlike(_CUE) & little(F.regexp_replace(lines, _HEADINGS, ""))) | _dense(lines)
 
 
 def has_filler(text: Column) -> Column:
-    lines = F.regexp_replace(one_per_line(text), r" +/ +", "\n")
-    return text.rlike(LATIN_RUN) | lines.rlike(_FILLER)
+    return reused(one_per_line(text), lambda lines: _filler(text, lines))
 
 
 def is_notice(text: Column) -> Column:
     """True if an error page or script notice stands in place of content."""
-    lines = one_per_line(text)
-    # Headings (up to two leading lines that end no sentence) are not what a page is for.
-    under = F.regexp_replace(lines, _HEADINGS, "")
-    content = F.length(F.regexp_replace(F.regexp_replace(under, _NO_CONTENT, ""), r"\s+", " "))
-    return lines.rlike(_CUE) & (content <= CONTENT_SHARE * F.length(lines))
+    return reused(one_per_line(text), _notice)
 
 
 def residue_kinds(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, placeholder, filler, notice) of each document; null and blank texts have none of them."""
     t = F.coalesce(F.col(text), F.lit(""))
-    return documents.select(F.col(key), has_placeholder(t).alias("placeholder"), has_filler(t).alias("filler"), is_notice(t).alias("notice"))
+    both = reused(one_per_line(t), lambda lines: F.struct(_filler(t, lines).alias("filler"), _notice(lines).alias("notice")))
+    return documents.select(F.col(key), has_placeholder(t).alias("placeholder"), both.alias("_b")).select(key, "placeholder", "_b.filler", "_b.notice")
 
 
 def residue(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
