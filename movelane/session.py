@@ -93,3 +93,14 @@ def release(*tables: DataFrame) -> None:
         if path := getattr(table, _WRITTEN, None):
             files, where = files_of(table.sparkSession, path)
             files.delete(where, True)
+
+
+def written_bytes(table: DataFrame) -> int:
+    """The size on disk of a table of ``cut_lineage``."""
+    files, where = files_of(table.sparkSession, getattr(table, _WRITTEN))
+    return files.getContentSummary(where).getLength()
+
+
+def broadcast_bytes(spark: SparkSession) -> int:
+    """The session's threshold below which a table is broadcast; negative if none is."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
