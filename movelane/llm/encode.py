@@ -2,20 +2,26 @@
 
 Texts are cut into pre-tokens with their positions by a JVM expression; each distinct pre-token is encoded once (Arrow
 batches of distinct words only); its ids are joined back by word and put together by position. Python sees the
-vocabulary of the corpus, not the corpus. Frequent words make the join skewed on one side only, which AQE splits.
+vocabulary of the corpus, not the corpus. The dictionary is written, so its size is measured before the join is planned:
+a small one is broadcast, one whose share of a task fits in memory is hashed, a larger one is merged and may spill.
+Frequent words make the join skewed on one side only, which AQE splits.
 """
 
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from movelane.session import broadcast_bytes, cut_lineage, written_bytes
+
 TOKENIZERS = "/opt/tokenizers"
-# Fixed value: the split of the byte-level vocabularies; (?U) gives \s its Unicode meaning.
+# The split of the byte-level vocabularies; (?U) gives \s its Unicode meaning.
 PRE_TOKEN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 _encoders: dict = {}
@@ -28,11 +34,11 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def word_encoder(path: str):
-    """bytes of one pre-token -> ids; the vocabulary is read once per Python worker."""
+    """bytes of one pre-token -> ids; the vocabulary is read once per Python worker, where the driver's path or the job's files have it."""
     if path not in _encoders:
         import tiktoken
 
-        _encoders[path] = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=read_ranks(path), special_tokens={})
+        _encoders[path] = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=read_ranks(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))), special_tokens={})
     encoding = _encoders[path]
     return lambda word: encoding._encode_single_piece(word)
 
@@ -42,12 +48,20 @@ def pre_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PRE_TOKEN), F.lit(0))
 
 
-def _words(documents: DataFrame, text: str, key: str) -> DataFrame:
-    return documents.filter(F.length(text) > 0).select(F.col(key).alias("key"), F.xxhash64(text).alias("digest"), F.posexplode(pre_tokens(F.col(text))).alias("pos", "word"))
+def _texts(documents: DataFrame, text: str, key: str) -> DataFrame:
+    """(key, digest, text) of the texts that are not empty, once each; copies are dropped before anything is shuffled."""
+    return documents.filter(F.length(text) > 0).select(F.col(key).alias("key"), F.xxhash64(text).alias("digest"), F.col(text).alias("text")).dropDuplicates(["key", "digest"])
+
+
+def _distinct_words(documents: DataFrame, text: str) -> DataFrame:
+    return documents.filter(F.length(text) > 0).select(F.explode(pre_tokens(F.col(text))).alias("word")).distinct()
 
 
 def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """(word, ids) of each distinct ``word``."""
+    """(word, ids) of ``words``, which are distinct. On a cluster the vocabulary travels with the job."""
+    context = words.sparkSession.sparkContext
+    if not context.master.startswith("local"):
+        context.addFile(path)
 
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -55,25 +69,36 @@ def encode_words(words: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             yield pd.Series([one(word.encode()) for word in batch], dtype=object)
 
-    return words.select("word").distinct().select("word", encode("word").alias("ids"))
+    return words.select("word", encode("word").alias("ids"))
+
+
+#: A task may hash this much of a dictionary, as written; in memory it is some ten times that.
+HASHED_BYTES = 16 * 2**20
 
 
 def _dictionary(words: DataFrame) -> DataFrame:
-    """The dictionary side of a join, to be hashed: one row per distinct word of a partition, so the corpus needn't be sorted."""
-    return words.hint("shuffle_hash")
+    """``words`` written, as the side of a join that its measured size allows: see the module's text."""
+    spark, table = words.sparkSession, cut_lineage(words)
+    size = written_bytes(table)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Below the session's threshold Spark broadcasts by the measured size; beyond the hashed one it sorts and may spill.
+    return table.hint("shuffle_hash") if broadcast_bytes(spark) < size <= HASHED_BYTES * tasks else table
 
 
 def encode_documents(documents: DataFrame, path: str | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, ids) of each document, without special tokens.
 
     Null and empty texts give an empty list; blank texts give the ids of their white space. Strings that are special to
-    a tokenizer are ordinary text. Rows that repeat both key and text come out once.
+    a tokenizer are ordinary text. Rows that repeat both key and text come out once. The ids of one document are one row, so
+    a document has to fit in a task; nothing else does.
     """
     path = path or f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
-    words = _words(documents, text, key)
-    placed = words.join(_dictionary(encode_words(words, path)), "word").select("key", "digest", F.struct("pos", "ids").alias("piece"))
-    whole = placed.groupBy("key", "digest").agg(F.collect_set("piece").alias("pieces"))
-    ids = whole.select(F.col("key").alias(key), F.flatten(F.transform(F.array_sort("pieces"), lambda p: p["ids"])).alias("ids"))
+    dictionary = _dictionary(encode_words(_distinct_words(documents, text), path))
+    # Where the dictionary is broadcast, texts lie by document when they are cut, and stay there until they are whole again.
+    words = _texts(documents, text, key).select("key", "digest", F.posexplode(pre_tokens(F.col("text"))).alias("pos", "word"))
+    placed = words.join(dictionary, "word").select("key", "digest", F.struct("pos", "ids").alias("piece"))
+    whole = placed.groupBy("key", "digest").agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
+    ids = whole.select(F.col("key").alias(key), F.flatten(F.transform("pieces", lambda p: p["ids"])).alias("ids"))
     empty = documents.filter(F.coalesce(F.length(text), F.lit(0)) == 0).select(key).distinct().select(key, F.array().cast("array<int>").alias("ids"))
     return ids.unionByName(empty)
 
@@ -82,8 +107,8 @@ def token_counts(documents: DataFrame, path: str | None = None, text: str = "tex
     """(key, tokens): the number of ids of each document that has any; needs neither positions nor ids in the shuffle."""
     path = path or f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
     words = documents.filter(F.length(text) > 0).select(F.col(key).alias("key"), F.explode(pre_tokens(F.col(text))).alias("word"))
-    sizes = encode_words(words, path).select("word", F.size("ids").cast("long").alias("n"))
-    return words.join(_dictionary(sizes), "word").groupBy("key").agg(F.sum("n").alias("tokens")).withColumnRenamed("key", key)
+    sizes = _dictionary(encode_words(_distinct_words(documents, text), path).select("word", F.size("ids").cast("long").alias("n")))
+    return words.join(sizes, "word").groupBy("key").agg(F.sum("n").alias("tokens")).withColumnRenamed("key", key)
 
 
 def token_table(spark: SparkSession, path: str | None = None) -> DataFrame:
