@@ -18,14 +18,14 @@ from movelane.functions.text import deletions, edits, fold_accents, squeeze
 from movelane.llm.components import connected_components, refine
 from movelane.session import cut_lineage
 
-# Legal forms and other words around an organisation's own name, longest first.
+# Legal forms and other words around an organisation's own name, longest first.
 FIRM_WORDS = r"llp|l\.l\.p\.|law firm|law offices?|law|partners|associates|chambers|legal|lawyers|solicitors|advocates|attorneys|& co|and co|pte\. ltd\.|pte ltd|ltd|limited|plc|inc|gmbh|group|\([a-z ]+\)"
-# Offices that appear after a name.
+# Offices that appear after a name.
 OFFICES = "auckland|bangkok|beijing|dubai|frankfurt|hong kong|jakarta|kuala lumpur|london|manila|melbourne|mumbai|new york|paris|perth|seoul|shanghai|singapore|sydney|tokyo"
-# Words before and after a person's name.
+# Words before and after a person's name.
 HONORIFICS = "mr mrs ms miss mx mme mlle dr prof professor dato datuk datin sir dame hon herr frau sr sra justice rev"
 POST_NOMINALS = "kc qc sc jp llm llb phd mba esq jd msc ba ma obe cbe mbe ao ac sj"
-# Short forms of given names, by given name.
+# Short forms of given names, by given name.
 SHORT_FORMS = {
     "alexander": "alex sandy xander alec sasha", "andrew": "drew andy", "anthony": "tony ant", "benjamin": "ben benny benji",
     "charles": "charlie chuck chas", "christopher": "chris kit topher", "deborah": "deb debs debbie", "edward": "ed eddie ted ned",
@@ -97,14 +97,16 @@ def firm_clusters(firms: DataFrame) -> DataFrame:
     forms = base.select("firm_id", "hq", "kind", "core").filter(~is_short(F.col("core"))).unionByName(spelled.select("firm_id", "hq", "kind", "core")).distinct()
     forms = cut_lineage(forms)
 
-    # Forms that are spelled alike meet first, so that one name in many entries is one node of the comparison.
-    nodes = forms.groupBy(F.array_sort("core").alias("core")).agg(F.min("firm_id").alias("node"))
-    keyed = nodes.select("node", "core", F.explode(core_keys(F.col("core"))).alias("key"))
-    other = keyed.select(F.col("node").alias("node2"), F.col("core").alias("core2"), "key")
+    # Entries of one spelling, office and kind are one node of the comparison, so that one name in many entries is few.
+    entry = cut_lineage(forms.select(F.array_sort("core").alias("core"), "firm_id", "hq", "kind").distinct())
+    nodes = cut_lineage(entry.groupBy("core", "hq", "kind").agg(F.min("firm_id").alias("node")))
+    keyed = nodes.select("core").distinct().select("core", F.explode(core_keys(F.col("core"))).alias("key"))
+    other = keyed.select(F.col("core").alias("core2"), "key")
     near = keyed.join(other, "key").filter(F.array_join("core", " ") < F.array_join("core2", " ")).select("core", "core2").distinct().filter(core_edits(F.col("core"), F.col("core2")) <= 1)
-    entry = forms.select(F.array_sort("core").alias("core"), "firm_id", "hq", "kind").distinct()
-    same = entry.alias("a").join(nodes.alias("n"), "core").join(entry.select("firm_id", "hq", "kind").distinct().alias("b"), F.col("b.firm_id") == F.col("n.node")).filter(_compatible("a", "b")).select(F.col("a.firm_id").alias("a"), F.col("n.node").alias("b"))
-    typed = near.join(entry.alias("a"), "core").join(entry.withColumnRenamed("core", "core2").alias("b"), "core2").filter(_compatible("a", "b")).select(F.col("a.firm_id").alias("a"), F.col("b.firm_id").alias("b"))
+    own = entry.alias("a").join(nodes.alias("b"), (F.col("a.core") == F.col("b.core")) & F.col("a.hq").eqNullSafe(F.col("b.hq")) & F.col("a.kind").eqNullSafe(F.col("b.kind"))).select(F.col("a.firm_id").alias("a"), F.col("b.node").alias("b"))
+    alike = nodes.alias("a").join(nodes.alias("b"), "core").filter(_compatible("a", "b") & (F.col("a.node") < F.col("b.node"))).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    same = own.unionByName(alike)
+    typed = near.join(nodes.alias("a"), "core").join(nodes.withColumnRenamed("core", "core2").alias("b"), "core2").filter(_compatible("a", "b")).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
     edges = cut_lineage(same.unionByName(typed).filter("a <> b"))
 
     # Initials: an entry known by them only joins the one organisation that they fit and that nothing contradicts.
@@ -114,8 +116,9 @@ def firm_clusters(firms: DataFrame) -> DataFrame:
     full = member.select("cluster", "hq", "kind", F.explode(short_keys(F.col("core"))).alias("key")).distinct()
     fits = lone.alias("a").join(full.alias("b"), "key").filter(_compatible("a", "b")).select(F.col("a.firm_id").alias("a"), F.col("b.cluster").alias("b")).distinct()
     only = fits.groupBy("a").agg(F.min("b").alias("b"), F.count("*").alias("n")).filter("n = 1").select("a", "b")
-    alike = lone.groupBy("key", "hq", "kind").agg(F.collect_set("firm_id").alias("ids")).select(F.explode("ids").alias("a"), F.array_min("ids").alias("b"))
-    found = refine(sure, only.unionByName(alike).filter("a <> b"))
+    least = lone.groupBy("key", "hq", "kind").agg(F.min("firm_id").alias("b"))
+    repeated = lone.alias("l").join(least.alias("m"), (F.col("l.key") == F.col("m.key")) & F.col("l.hq").eqNullSafe(F.col("m.hq")) & F.col("l.kind").eqNullSafe(F.col("m.kind"))).select(F.col("l.firm_id").alias("a"), "b")
+    found = refine(sure, only.unionByName(repeated).filter("a <> b"))
     return found.select(F.col("node").alias("firm_id"), F.col("label").alias("cluster"))
 
 
@@ -166,12 +169,15 @@ def repaired_words(spellings: DataFrame, given: DataFrame) -> DataFrame:
     return near.groupBy("word").agg(F.min("fixed").alias("fixed"), F.count("*").alias("fits")).filter("fits = 1").select("word", "fixed")
 
 
-def person_forms(moves: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((firm, name, form), (form, firm, surname, givens, known, alias, half)): spellings to forms; a form's id is its smallest move_id."""
+def person_forms(moves: DataFrame, given: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """((firm, name, form), (form, firm, surname, givens, known, alias, half)): spellings to forms; a form's id is its smallest move_id.
+
+    ``given`` (word, n) are given names and how often they occur, learned elsewhere; by default the moves teach them.
+    """
     rows = moves.filter("person_name is not null and to_firm_id is not null and move_id is not null").select("move_id", F.col("to_firm_id").alias("firm"), F.col("person_name").alias("name"))
     spellings = person_parts(rows.groupBy("firm", "name").agg(F.min("move_id").alias("first")))
     spellings = cut_lineage(spellings.filter(F.size("p.words") > 0))
-    given = cut_lineage(given_words(spellings))
+    given = cut_lineage(given_words(spellings) if given is None else given.select("word", "n"))
     fixes = repaired_words(spellings, given)
     vocabulary = spellings.select(F.explode("p.words").alias("word")).groupBy("word").agg(F.count("*").alias("k"))
     marks = given.select(F.col("word").alias("of"), F.lit(True).alias("is_given"))
@@ -233,7 +239,7 @@ def _one_edit(a: str, b: str) -> bool:
     return longer[i + 1 :] == shorter[i:]
 
 
-SURE, SHORT, INITIAL = 3, 2, 1
+SURE, SHORT, INITIAL, LOOSE = 4, 3, 2, 1
 #: Which side of a match says less: the one that could stand for several people.
 LEFT, RIGHT = 1, 2
 NO_MATCH = (0, 0)
@@ -259,7 +265,41 @@ def word_match(a: str, b: str, known_a: bool = False, known_b: bool = False) ->
 
 
 def given_match(a: list[str], b: list[str], known_a: list[bool], known_b: list[bool], half_a: bool, half_b: bool) -> tuple[int, int]:
-    """(grade, weak sides) of two lists of given words under the best assignment in order, first to first; the longer may have middle names."""
+    """(grade, weak sides) of two lists of given words under their best assignment; the longer may have middle names.
+
+    Words in order, first to first, make the grade of the worst of them. Any other assignment of all words of the shorter
+    list, of which one at least is more than an initial, is LOOSE: names in another order, or one known by a middle name.
+    """
+    match = _in_order(a, b, known_a, known_b, half_a, half_b)
+    if match[0] or not a or not b:
+        return match
+    if (len(a) == 1 and len(b) > 1 and half_b) or (len(b) == 1 and len(a) > 1 and half_a):
+        return NO_MATCH
+    return (LOOSE, LEFT | RIGHT if len(a) == len(b) else LEFT if len(a) < len(b) else RIGHT) if _assignable(a, b, known_a, known_b) else NO_MATCH
+
+
+def _assignable(a: list[str], b: list[str], known_a: list[bool], known_b: list[bool]) -> bool:
+    """True if every word of the shorter list has its own match in the longer one, one of them more than an initial."""
+    if len(a) > len(b):
+        a, b, known_a, known_b = b, a, known_b, known_a
+    grades = [[word_match(x, y, p, q)[0] for y, q in zip(b, known_b)] for x, p in zip(a, known_a)]
+    if max(map(max, grades)) < SHORT:
+        return False
+    taken: dict[int, int] = {}
+
+    def place(i: int, seen: set[int]) -> bool:
+        # Augmenting paths; the best partners are tried first, so that full words are not given away to initials.
+        for j in sorted((j for j in range(len(b)) if grades[i][j] and j not in seen), key=lambda j: -grades[i][j]):
+            seen.add(j)
+            if j not in taken or place(taken[j], seen):
+                taken[j] = i
+                return True
+        return False
+
+    return all(place(i, set()) for i in sorted(range(len(a)), key=lambda i: -max(grades[i]))) and any(grades[i][j] >= SHORT for j, i in taken.items())
+
+
+def _in_order(a: list[str], b: list[str], known_a: list[bool], known_b: list[bool], half_a: bool, half_b: bool) -> tuple[int, int]:
     if not a or not b:
         return NO_MATCH
     joined, apart = "".join(a), "".join(b)
@@ -268,7 +308,7 @@ def given_match(a: list[str], b: list[str], known_a: list[bool], known_b: list[b
     if (len(a) == 1) != (len(b) == 1) and min(len(joined), len(apart)) >= 6 and _one_edit(joined, apart):
         return SHORT, LEFT if len(a) == 1 else RIGHT
     if len(a) > len(b):
-        grade, weak = given_match(b, a, known_b, known_a, half_b, half_a)
+        grade, weak = _in_order(b, a, known_b, known_a, half_b, half_a)
         return grade, (weak & LEFT and RIGHT) | (weak & RIGHT and LEFT)
     if len(a) == 1 and len(a[0]) > 1 and len(b) > 1 and half_b:
         return NO_MATCH
@@ -283,10 +323,27 @@ def given_match(a: list[str], b: list[str], known_a: list[bool], known_b: list[b
     return row[-1]
 
 
+def _same_short_surname(a: str, b: str) -> bool:
+    """True if a short surname is a slip of another whatever the corpus: neighbours swapped, or a letter typed twice.
+
+    Another letter makes another surname (Lim and Lin, Chan and Chen), and under four letters a doubled one does (Le, Lee).
+    """
+    if len(a) == len(b):
+        return len(a) >= 3 and a != b and _one_edit(a, b) and sorted(a) == sorted(b)
+    longer, shorter = (a, b) if len(a) > len(b) else (b, a)
+    return len(shorter) >= 4 and any(longer[i] == longer[i - 1] and longer[:i] + longer[i + 1 :] == shorter for i in range(1, len(longer)))
+
+
 def person_match(a: dict, b: dict) -> tuple[int, int]:
-    """(grade, weak sides) of two forms: 0 unless the surnames are within one edit, else by given and chosen names."""
+    """(grade, weak sides) of two forms: 0 unless the surnames are within one edit, else by given and chosen names.
+
+    Surnames under five letters have to be slips by themselves and the given names have to be surely the same.
+    """
     sa, ga, xa, sb, gb, xb = a["surname"], a["givens"], a["alias"], b["surname"], b["givens"], b["alias"]
-    if sa != sb and not (min(len(sa), len(sb)) >= 5 and _one_edit(sa, sb)):
+    if sa != sb and min(len(sa), len(sb)) < 5:
+        sure = _same_short_surname(sa, sb) and len("".join(ga)) >= 3 and given_match(ga, gb, a["known"], b["known"], a["half"], b["half"])[0] == SURE
+        return (SURE, 0) if sure else NO_MATCH
+    if sa != sb and not _one_edit(sa, sb):
         return NO_MATCH
     match = given_match(ga, gb, a["known"], b["known"], a["half"], b["half"])
     if not match[0]:
@@ -309,7 +366,7 @@ def person_match(a: dict, b: dict) -> tuple[int, int]:
 def form_pairs(forms: DataFrame) -> DataFrame:
     """(a, b, grade, weak) of the forms of one firm whose surnames are within one edit and whose given names agree."""
     rated = forms.join(chosen_names(forms).withColumn("chosen", F.lit(True)), (F.size("givens") == 1) & (F.get("givens", F.lit(0)) == F.col("word")), "left").select("form", "firm", F.struct("surname", "givens", "known", "alias", "half", F.coalesce("chosen", F.lit(False)).alias("chosen")).alias("f"))
-    keyed = rated.select("form", "firm", "f", F.explode(deletions(F.col("f.surname"), 5)).alias("key"))
+    keyed = rated.select("form", "firm", "f", F.explode(deletions(F.col("f.surname"), 3)).alias("key"))
     other = keyed.select(F.col("form").alias("form2"), "firm", F.col("f").alias("f2"), "key")
     pairs = keyed.join(other, ["firm", "key"]).filter("form < form2").select("form", "form2", "f", "f2").dropDuplicates(["form", "form2"])
 
@@ -337,7 +394,7 @@ def person_clusters(forms: DataFrame) -> DataFrame:
     """(form, cluster) of the forms that share their person with another form."""
     pairs = cut_lineage(form_pairs(forms))
     clusters = cut_lineage(connected_components(pairs.filter(F.col("grade") == SURE).select("a", "b")))
-    for grade in (SHORT, INITIAL):
+    for grade in (SHORT, INITIAL, LOOSE):
         clusters = refine(clusters, _only_fits(pairs, clusters, grade))
     return clusters.select(F.col("node").alias("form"), F.col("label").alias("cluster"))
 
@@ -348,19 +405,25 @@ def linked_firms(firms: DataFrame) -> DataFrame:
     return found.alias("a").join(found.alias("b"), "cluster").filter("a.firm_id < b.firm_id").select(F.col("a.firm_id").alias("left_id"), F.col("b.firm_id").alias("right_id"))
 
 
-def linked_moves(moves: DataFrame) -> DataFrame:
+def person_membership(moves: DataFrame, given: DataFrame | None = None) -> DataFrame:
+    """(move_id, name, person): each move with a name and firm, and its person: one row a move, whatever the groups hold."""
+    spellings, forms = person_forms(moves, given)
+    clusters = person_clusters(forms)
+    whole = spellings.join(clusters, "form", "left").select("firm", "name", F.coalesce("cluster", "form").alias("person"))
+    return moves.select("move_id", F.col("to_firm_id").alias("firm"), F.col("person_name").alias("name")).join(whole, ["firm", "name"]).select("move_id", "name", "person")
+
+
+def linked_moves(moves: DataFrame, given: DataFrame | None = None) -> DataFrame:
     """(left_id, right_id) of moves of one person whose person_name texts differ, the smaller id first.
 
-    Moves without a name or firm have no links. A name at another firm is another person.
+    Moves without a name or firm have no links. A name at another firm is another person. ``person_membership`` says the
+    same in one row a move.
     """
-    spellings, forms = person_forms(moves)
-    clusters = person_clusters(forms)
-    whole = spellings.join(clusters, "form", "left").select("firm", "name", F.coalesce("cluster", "form").alias("person"))
-    rows = moves.select("move_id", F.col("to_firm_id").alias("firm"), F.col("person_name").alias("name")).join(whole, ["firm", "name"]).select("move_id", "name", "person")
+    rows = person_membership(moves, given)
     other = rows.select(F.col("move_id").alias("right_id"), F.col("name").alias("name2"), "person")
     return rows.join(other, "person").filter("move_id < right_id and name <> name2").select(F.col("move_id").alias("left_id"), "right_id")
 
 
-def links(firms: DataFrame, moves: DataFrame) -> DataFrame:
+def links(firms: DataFrame, moves: DataFrame, given: DataFrame | None = None) -> DataFrame:
     """(kind, left_id, right_id): ``linked_firms`` and ``linked_moves`` together."""
-    return linked_firms(firms).select(F.lit("firm").alias("kind"), "left_id", "right_id").unionByName(linked_moves(moves).select(F.lit("person").alias("kind"), "left_id", "right_id"))
+    return linked_firms(firms).select(F.lit("firm").alias("kind"), "left_id", "right_id").unionByName(linked_moves(moves, given).select(F.lit("person").alias("kind"), "left_id", "right_id"))

@@ -14,6 +14,10 @@ def p3_found(spark, root):
     return names.links(table(spark, root, "firms"), table(spark, root, "extracted_moves"))
 
 
+def p3_membership(spark, root):
+    return names.person_membership(table(spark, root, "extracted_moves")).select("move_id", "person")
+
+
 def p4_found(spark, root):
     return boilerplate.body_lines(table(spark, root, "raw_items")).selectExpr("item_id", "line_no")
 
@@ -42,7 +46,7 @@ def p10_found(spark, root):
     return residue.residue(table(spark, root, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p4_found, p6_found, p7_found, p8_ids, p9_positions, p9_shares, p10_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_membership, p4_found, p6_found, p7_found, p8_ids, p9_positions, p9_shares, p10_found)}
 _MISSING = ", ".join("'" + m + "'" for m in survivor.MISSING)
 SQL: dict[str, str] = {
     "p2_found": """
