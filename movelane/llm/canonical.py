@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from movelane.functions.text import edits
 from movelane.session import cut_lineage
 
-# Other names of the entries in professional use, by entry name.
+# Other names of the entries in professional use, by entry name: a default that may be replaced or left out ({}).
 OTHER_NAMES = {
     "Mergers and Acquisitions": "M&A; mergers and acqs; public takeovers; takeovers; corporate acquisitions",
     "Private Equity": "PE; PE buyouts; buyouts; leveraged buyouts; LBO",
@@ -79,7 +79,7 @@ OTHER_NAMES = {
     "Registered Foreign Lawyer": "foreign lawyer; RFL",
     "Trainee Solicitor": "trainee; articled clerk",
 }
-# Words around a value that are no part of it.
+# Words around a value that are no part of it.
 AROUND = r"\b(?:its|the firm's|their newest|their|newest|now|new|as|team|group|work|lead|acting|incoming|designate|former|and|the|an?|in|practice group)\b"
 AROUND_PRACTICE = r"\b(?:practice|practices|department|desk|matters|specialist)\b"
 #: An entry is taken from this soft cosine on.
@@ -91,9 +91,9 @@ OTHER_NAME = 0.96
 def surfaces(ref_values: DataFrame, other_names: dict[str, str] | None = None) -> DataFrame:
     """(kind, ref_code, surface, trust): the entries under all their names; entries without a code, kind or name are left out."""
     spark = ref_values.sparkSession
-    names = [(name, other.strip()) for name, others in (other_names or OTHER_NAMES).items() for other in others.split(";")]
+    names = [(name, other.strip()) for name, others in (OTHER_NAMES if other_names is None else other_names).items() for other in others.split(";")]
     known = ref_values.filter("ref_code is not null and kind is not null and name is not null").select("kind", "ref_code", "name").distinct()
-    others = known.join(spark.createDataFrame(names, "name string, surface string"), "name").select("kind", "ref_code", "surface", F.lit(OTHER_NAME).alias("trust"))
+    others = known.join(spark.createDataFrame(names or [], "name string, surface string"), "name").select("kind", "ref_code", "surface", F.lit(OTHER_NAME).alias("trust"))
     return known.select("kind", "ref_code", F.col("name").alias("surface"), F.lit(1.0).alias("trust")).unionByName(others)
 
 
@@ -112,34 +112,40 @@ def tokens(value: Column, kind: Column) -> Column:
     return F.when(F.size(words(bare)) > 0, words(bare)).otherwise(words(flat))
 
 
-def deletions(word: Column) -> Column:
-    """The word and its forms with one or two letters left out (two only from six letters on)."""
+def deletions(word: Column, least: int = 4) -> Column:
+    """The word and, from ``least`` letters on, its forms with one or two letters left out (two only from six letters on)."""
     one = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1)))
     first = one(word)
     both = F.when(F.length(word) >= 6, F.concat(F.array(word), first, F.flatten(F.transform(first, one)))).otherwise(F.concat(F.array(word), first))
-    return F.array_distinct(F.when(F.length(word) >= 4, both).otherwise(F.array(word)))
+    return F.array_distinct(F.when(F.length(word) >= least, both).otherwise(F.array(word)))
 
 
 def repairs(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(kind, token, term, sim): the terms of the reference vocabulary that a distinct token may stand for."""
+    """(kind, token, term, sim, weak): the terms of the reference vocabulary that a distinct token may stand for.
+
+    One edit repairs words from four letters on, two edits words from nine on. An edit of a word of two or three letters
+    is weak: it counts only beside other words of the value that meet the same entry (``rank_entries``).
+    """
     word = F.regexp_replace("token", r"\.$", "")
     words = words.select("kind", "token", word.alias("word")).distinct()
     # A token longer than every term by more than the edits allowed stands for none.
     longest = vocabulary.groupBy("kind").agg((F.max(F.length("term")) + 2).alias("longest"))
     near = (
         words.join(longest, "kind").filter(F.length("word") <= F.col("longest"))
-        .select("kind", "token", "word", F.explode(deletions(F.col("word"))).alias("key"))
-        .join(vocabulary.select("kind", "term", F.explode(deletions(F.col("term"))).alias("key")), ["kind", "key"])
+        .select("kind", "token", "word", F.explode(deletions(F.col("word"), 2)).alias("key"))
+        .join(vocabulary.select("kind", "term", F.explode(deletions(F.col("term"), 2)).alias("key")), ["kind", "key"])
         .select("kind", "token", "word", "term").distinct()
         .withColumn("d", edits(F.col("word"), F.col("term")))
     )
     size = F.greatest(F.length("word"), F.length("term"))
-    near = near.filter((F.col("d") == 0) | ((F.col("d") == 1) & (size >= 4) & (F.least(F.length("word"), F.length("term")) >= 3)) | ((F.col("d") == 2) & (size >= 9)))
+    least = F.least(F.length("word"), F.length("term"))
+    sound = (F.col("d") == 0) | ((F.col("d") == 1) & (size >= 4) & (least >= 3)) | ((F.col("d") == 2) & (size >= 9))
+    near = near.withColumn("weak", ~sound).filter(sound | ((F.col("d") == 1) & (least >= 2)))
     short = words.filter(F.col("token").endswith(".") & (F.length("word") >= 1))
     starts = vocabulary.select("kind", "term", F.explode(F.transform(F.sequence(F.lit(1), F.length("term")), lambda i: F.substr("term", F.lit(1), i))).alias("word"))
-    abbreviated = short.join(starts, ["kind", "word"]).filter(F.length("term") > F.length("word")).select("kind", "token", "term", (0.9 + 0.1 * F.length("word") / F.length("term")).alias("sim"))
-    both = near.select("kind", "token", "term", (1 - 0.8 * F.col("d") / size).alias("sim")).unionByName(abbreviated)
-    return both.groupBy("kind", "token", "term").agg(F.max("sim").alias("sim"))
+    abbreviated = short.join(starts, ["kind", "word"]).filter(F.length("term") > F.length("word")).select("kind", "token", "term", (0.9 + 0.1 * F.length("word") / F.length("term")).alias("sim"), F.lit(False).alias("weak"))
+    both = near.select("kind", "token", "term", (1 - 0.8 * F.col("d") / size).alias("sim"), "weak").unionByName(abbreviated)
+    return both.groupBy("kind", "token", "term").agg(F.max("sim").alias("sim"), F.min("weak").alias("weak"))
 
 
 def closed_up(values: DataFrame, named: DataFrame) -> DataFrame:
@@ -172,19 +178,21 @@ def rank_entries(values: DataFrame, ref_values: DataFrame, other_names: dict[str
     # A part in brackets or after a dash of which the vocabulary knows nothing (a place, a remark) is no part of the value.
     aside = F.regexp_extract("value", r"(?:\(([^()]*)\)|\s[-–—]\s(.+))$", 0)
     asides = values.select("kind", "value", F.explode(tokens(aside, F.col("kind"))).alias("token"))
-    known_asides = asides.join(fixed.select("kind", "token").distinct(), ["kind", "token"], "left_semi").select("kind", "value").distinct()
+    known_asides = asides.join(fixed.filter("not weak").select("kind", "token").distinct(), ["kind", "token"], "left_semi").select("kind", "value").distinct()
     strange = asides.join(known_asides, ["kind", "value"], "left_anti")
     words = cut_lineage(words.join(strange, ["kind", "value", "token"], "left_anti"))
 
     weights = fixed.join(idf, ["kind", "term"])
-    own = weights.groupBy("kind", "token").agg(F.max_by("w", "sim").alias("own"))
+    # Terms as near as each other settle by weight, so that the order of rows plays no part; a weak repair settles nothing.
+    own = weights.filter("not weak").groupBy("kind", "token").agg(F.max_by("w", F.struct("sim", "w")).alias("own"))
     rarest = idf.groupBy("kind").agg(F.max("w").alias("most"))
     owned = words.join(own, ["kind", "token"], "left").join(rarest, "kind").select("kind", "value", "token", F.pow(F.coalesce("own", "most"), F.lit(2)).alias("own2"))
     sized = owned.groupBy("kind", "value").agg(F.sum("own2").alias("value2"))
     met = owned.join(fixed, ["kind", "token"]).join(weighed, ["kind", "term"])
     entry = ["kind", "value", "ref_code", "surface", "trust", "surface_norm"]
-    pairs = met.groupBy(*entry, "token").agg(F.max(F.struct((F.col("sim") * F.col("w") * F.col("w")).alias("part"), (F.col("w") * F.col("w")).alias("w2"), "own2")).alias("m"))
-    scores = pairs.groupBy(*entry).agg(F.sum("m.part").alias("dot"), F.sum("m.w2").alias("met2"), F.sum("m.own2").alias("own2")).join(sized, ["kind", "value"])
+    pairs = met.groupBy(*entry, "token").agg(F.max(F.struct((F.col("sim") * F.col("w") * F.col("w")).alias("part"), (F.col("w") * F.col("w")).alias("w2"), "own2")).alias("m"), F.min("weak").alias("weak"))
+    # Only entries that a sound token meets: a weak one is read in their light.
+    scores = pairs.groupBy(*entry).agg(F.count_if(~F.col("weak")).alias("sound"), F.sum("m.part").alias("dot"), F.sum("m.w2").alias("met2"), F.sum("m.own2").alias("own2")).filter("sound > 0").join(sized, ["kind", "value"])
     # A token that meets an entry weighs as the term it meets; the others weigh as their best term, or as the rarest.
     norm = F.sqrt(F.col("value2") - F.col("own2") + F.col("met2")) * F.col("surface_norm")
     scored = scores.select("kind", "value", "ref_code", (F.col("trust") * F.least(F.lit(1.0), F.col("dot") / norm)).alias("score")).unionByName(closed_up(values, named))

@@ -43,3 +43,20 @@ def test_repairs_agree_with_brute_force(spark):
     got = {(r.token, r.term) for r in canonical.repairs(spark.createDataFrame([("k", w) for w in words], "kind string, token string"), spark.createDataFrame([("k", t) for t in terms], "kind string, term string")).collect()}
     want = {(w, t) for w in words for t in terms if (d := edits(w, t)) == 0 or (d == 1 and max(len(w), len(t)) >= 4 and min(len(w), len(t)) >= 3) or (d == 2 and max(len(w), len(t)) >= 9)}
     assert got == want
+
+
+def test_short_words_are_repaired_beside_sound_ones_only(spark):
+    ref = [*REF, ("PR06", "practice", "Corporate Tax")]
+    assert run(spark, [(1, None, "Corprate Tx"), (2, None, "tx"), (3, None, "tx desk")], ref) == [(1, "practice", "PR06"), (2, "practice", "unmatched"), (3, "practice", "unmatched")]
+
+
+def test_other_names_can_be_left_out(spark):
+    roles = spark.createDataFrame([(1, None, "divorce"), (2, None, "family law")], "role_id long, title string, practice string")
+    ref = spark.createDataFrame(REF, "ref_code string, kind string, name string")
+    assert sorted((r.role_id, r.ref_code) for r in canonical.map_values(roles, ref, other_names={}).collect()) == [(1, "unmatched"), (2, "PR02")]
+    assert sorted((r.role_id, r.ref_code) for r in canonical.map_values(roles, ref, other_names={"Public Law": "divorce"}).collect()) == [(1, "PR03"), (2, "PR02")]
+
+
+def test_order_of_rows_plays_no_part(spark):
+    rows = [(i, t, None) for i, t in enumerate(["eqity partnr", "salried partner", "partner equity salaried", "head co", "practise", "Law family public"] * 3)]
+    assert run(spark, rows) == run(spark, rows[::-1], REF[::-1])

@@ -62,3 +62,30 @@ def test_empty(spark):
     empty = spark.createDataFrame([], MOVES)
     assert names.linked_moves(empty).count() == 0
     assert names.links(spark.createDataFrame([], FIRMS), empty).columns == ["kind", "left_id", "right_id"]
+
+
+def test_names_in_another_order_and_middle_names_are_the_loosest_match():
+    match = lambda a, b, **k: names.given_match(a, b, [False] * len(a), [False] * len(b), k.get("half", False), k.get("half", False))[0]
+    assert match(["michael"], ["j", "michael"]) == match(["anna", "maria"], ["maria", "anna"]) == names.LOOSE
+    assert match(["michael"], ["michael", "j"]) == names.SURE and match(["j"], ["m", "j"]) == match(["jun"], ["wei", "jun"], half=True) == 0
+    assert match(["john"], ["peter", "paul"]) == 0
+
+
+def test_slips_of_short_surnames():
+    form = lambda surname, *givens: {"surname": surname, "givens": list(givens), "known": [False] * len(givens), "alias": None, "half": False, "chosen": False}
+    pairs = {("wong", "wogn"): 4, ("chan", "chann"): 4, ("lim", "lmi"): 4, ("lim", "lin"): 0, ("chan", "chen"): 0, ("le", "lee"): 0, ("ho", "hoo"): 0, ("ng", "gn"): 0}
+    assert {k: names.person_match(form(k[0], "wei", "jun"), form(k[1], "wei", "jun"))[0] for k in pairs} == pairs
+    assert names.person_match(form("wong", "wei"), form("wogn", "j"))[0] == 0
+
+
+def test_entries_of_one_spelling_that_contradict_the_first_still_meet(spark):
+    rows = [(1, "Alder & Birch LLP", "boutique", "SG", None), (2, "Alder Birch", "boutique", "HK", None), (3, "Alder and Birch", "boutique", "HK", None), (4, "Alder Birch Law", "boutique", "SG", None)]
+    firms = spark.createDataFrame(rows, "firm_id long, canonical_name string, firm_type string, hq_jurisdiction string, aliases array<string>")
+    assert sorted((r.left_id, r.right_id) for r in names.linked_firms(firms).collect()) == [(1, 4), (2, 3)]
+
+
+def test_given_names_may_be_learned_elsewhere(spark):
+    moves = spark.createDataFrame([(1, "Ada Quill", 7), (2, "Quill Ada", 7), (3, None, 7), (4, "Ada Quill", None)], "move_id long, person_name string, to_firm_id long")
+    given = spark.createDataFrame([("ada", 50)], "word string, n long")
+    assert [(r.left_id, r.right_id) for r in names.linked_moves(moves, given).collect()] == [(1, 2)]
+    assert {(r.move_id, r.person) for r in names.person_membership(moves, given).collect()} == {(1, 1), (2, 1)}
