@@ -104,7 +104,14 @@ def firm_clusters(firms: DataFrame) -> DataFrame:
     other = keyed.select(F.col("core").alias("core2"), "key")
     near = keyed.join(other, "key").filter(F.array_join("core", " ") < F.array_join("core2", " ")).select("core", "core2").distinct().filter(core_edits(F.col("core"), F.col("core2")) <= 1)
     own = entry.alias("a").join(nodes.alias("b"), (F.col("a.core") == F.col("b.core")) & F.col("a.hq").eqNullSafe(F.col("b.hq")) & F.col("a.kind").eqNullSafe(F.col("b.kind"))).select(F.col("a.firm_id").alias("a"), F.col("b.node").alias("b"))
-    alike = nodes.alias("a").join(nodes.alias("b"), "core").filter(_compatible("a", "b") & (F.col("a.node") < F.col("b.node"))).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    # A node that states less joins one node that states more, the smallest it fits, so that it is no bridge between two
+    # that contradict each other; nodes that state as much as each other meet only if neither fits a third.
+    level = lambda side: F.col(f"{side}.hq").isNotNull().cast("int") + F.col(f"{side}.kind").isNotNull().cast("int")
+    fit = nodes.alias("a").join(nodes.alias("b"), "core").filter(_compatible("a", "b") & (F.col("a.node") != F.col("b.node"))).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), level("a").alias("la"), level("b").alias("lb"))
+    best = fit.groupBy("a", "la").agg(F.min(F.struct(-F.col("lb"), F.col("b"))).alias("m"), F.count("*").alias("n"))
+    best = best.select("a", "la", F.col("m.b").alias("b"), (-F.col("m.col1")).alias("lb"), "n")
+    alone = best.filter("n = 1").select(F.col("a").alias("b"), F.lit(True).alias("alone"))
+    alike = best.join(alone, "b", "left").filter((F.col("lb") > F.col("la")) | ((F.col("lb") == F.col("la")) & (F.col("n") == 1) & F.coalesce("alone", F.lit(False)))).select("a", "b")
     same = own.unionByName(alike)
     typed = near.join(nodes.alias("a"), "core").join(nodes.withColumnRenamed("core", "core2").alias("b"), "core2").filter(_compatible("a", "b")).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
     edges = cut_lineage(same.unionByName(typed).filter("a <> b"))
