@@ -11,12 +11,13 @@ Each choice is a ``min_by`` over a struct: partial aggregation, no window, no so
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Texts that only say a value is missing, after trimming and lower-casing.
+# Texts that only say a value is missing, after trimming and lower-casing.
 MISSING = [
     "n/a", "na", "n.a.", "n.a", "none", "none given", "null", "nil", "nan", "unknown", "not known", "undisclosed",
     "not disclosed", "not stated", "not given", "not specified", "unspecified", "not available", "not provided",
@@ -103,7 +104,8 @@ def currency_ranks(values: DataFrame, precedence: DataFrame) -> DataFrame:
 
     Only values that meet in a group take part, so depth 0 is a value that nothing in its group precedes. Chains may be of
     any length; the values of a cycle stay a tie, settled by the caller's next key. The order is sequential, so the
-    edges of one group and field are walked in Python.
+    edges of one group and field are walked in Python: these are the learned pairs among its distinct values, however many
+    rows it has, and have to fit in a task.
     """
     values = values.select("group_ref", "field_name", "value").distinct()
     edges = (
@@ -113,11 +115,16 @@ def currency_ranks(values: DataFrame, precedence: DataFrame) -> DataFrame:
         .select("group_ref", "field_name", "older", "newer")
     )
 
-    def walk(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        depth = chain_depths(list(zip(part["older"], part["newer"])))
-        return pd.DataFrame({"group_ref": key[0], "field_name": key[1], "value": list(depth), "depth": list(depth.values())})
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A batch holds many groups; each is walked by itself.
+        for batch in batches:
+            groups, fields, lists = (batch.column(i).to_pylist() for i in range(3))
+            rows = [(g, f, value, depth) for g, f, e in zip(groups, fields, lists) for value, depth in chain_depths([(x["older"], x["newer"]) for x in e]).items()]
+            columns = list(zip(*rows)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.string(), pa.int32()))], ["group_ref", "field_name", "value", "depth"])
 
-    depth = edges.groupBy("group_ref", "field_name").applyInPandas(walk, "group_ref long, field_name string, value string, depth int")
+    lists = edges.groupBy("group_ref", "field_name").agg(F.collect_set(F.struct("older", "newer")).alias("e"))
+    depth = lists.mapInArrow(walk, "group_ref long, field_name string, value string, depth int")
     return values.join(depth, ["group_ref", "field_name", "value"], "left").withColumn("depth", F.coalesce("depth", F.lit(0)))
 
 
