@@ -56,7 +56,6 @@ def line_features(line: str) -> tuple[list[str], tuple]:
     bullet = line.startswith(_BULLETS)
     seps = line.count("|") + line.count("›") + line.count("·") + line.count(" / ") + line.count("   ")
     shape = "b" if bullet else "9" if line[:1].isdigit() else "C" if line[:1].isupper() else "q" if line[:1] in "\"“„«'" else "a"
-    digits = _DIGITS.sub("9", line) if n < 14 else None
     found += [
         f"n={_bucket(n)}", f"len={_bucket(len(line) // 8)}", f"end={bare[-1:] if not bare[-1:].isalnum() else 'w'}", f"sent={ends}", f"shape={shape}",
         f"caps={capitals * 5 // max(1, n)}", f"caps,end={capitals * 5 // max(1, n)},{ends}", f"n,end={_bucket(n)},{ends}", f"seps={min(seps, 4)}", f"shape,end,n={shape},{ends},{min(n, 9)}",
@@ -70,12 +69,11 @@ def line_features(line: str) -> tuple[list[str], tuple]:
             found += [f"w012={first} {words[1]} {words[2]}", f"m012={_masked(first)} {_masked(words[1])} {_masked(words[2])}"]
         if n < 6:
             found.append("m=" + " ".join(map(_masked, words)))
-    if digits is not None:
-        found.append("line=" + digits)
-    low = [w.strip(".,;:!?\"'()“”«»").lower() for w in words[:60] if w[:1].islower()]
-    found += ["w=" + w for w in set(low)]
+    found.append("line=" + _DIGITS.sub("9", line))
+    # All words of the block, however long it is.
+    found += ["w=" + w for w in {w.strip(".,;:!?\"'()“”«»").lower() for w in words if w[:1].islower()}]
     # Words right after a capitalised one tell headlines (Name joins Firm) from prose.
-    found += ["v=" + b for a, b in zip(words[:14], words[1:14]) if a[:1].isupper() and b[:1].islower()]
+    found += ["v=" + b for b in {b for a, b in zip(words, words[1:]) if a[:1].isupper() and b[:1].islower()}]
     return found, (ends, min(n, 12) // 3, shape)
 
 
