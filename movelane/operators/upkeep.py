@@ -6,9 +6,15 @@ that a rerun gives the same rows and a failed write leaves the old table whole.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import contextlib
+import datetime as dt
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from movelane.functions.names import name_hash
+
 
 def insert_absent(current: DataFrame, batch: DataFrame, key: str, first_by: list[str]) -> DataFrame:
     """The rows of ``batch`` to append: one per key, the first by ``first_by``, where ``current`` has none of that key.
@@ -70,6 +76,79 @@ def erase(tables: dict[str, DataFrame], person: DataFrame, key: str, owned: dict
     return after, log
 
 
+def erase_person(person: DataFrame, people: DataFrame, moves: DataFrame, evidence: DataFrame, links: DataFrame, tombstones: DataFrame, salt: str, reason: str, actor: str) -> dict[str, DataFrame]:
+    """The next state of every table after the people in ``person`` (person_id) are erased, and the row to log.
+
+    ``people`` is (person_id, canonical_name, name_variants), ``moves`` has move_id, person_id, superseded_by, merged_at and
+    review_state, ``evidence`` and ``links`` move_id, ``tombstones`` (name_hash, reason, actor). Links of supersession into
+    the erased moves are broken and those moves rejected; what stays of a person is a salted hash of each spelling. The
+    log counts and names nobody; without a person it counts nothing.
+    """
+    gone = person.select("person_id").distinct()
+    dead = moves.join(gone, "person_id", "left_semi").select("move_id")
+    into = dead.select(F.col("move_id").alias("superseded_by"), F.lit(True).alias("_dead"))
+    kept = moves.join(gone, "person_id", "left_anti").join(into, "superseded_by", "left")
+    broken = F.coalesce("_dead", F.lit(False))
+    changed = {"superseded_by": F.when(~broken, F.col("superseded_by")), "merged_at": F.when(~broken, F.col("merged_at")), "review_state": F.when(broken, "rejected").otherwise(F.col("review_state"))}
+    kept = kept.select(*[changed.get(c, F.col(c)).alias(c) for c in moves.columns])
+    names = people.join(gone, "person_id", "left_semi").select(F.explode(F.concat(F.array("canonical_name"), F.coalesce("name_variants", F.array().cast("array<string>")))).alias("n")).filter(F.trim("n") != "")
+    hashes = names.select(name_hash(F.col("n"), salt).alias("name_hash")).distinct().join(tombstones.select("name_hash"), "name_hash", "left_anti")
+    count = lambda rows, name: rows.agg(F.count("*").alias(name))
+    one = F.lit(True)
+    log = count(dead, "moves_deleted").join(count(evidence.join(dead, "move_id", "left_semi"), "evidence_deleted"), one).join(count(links.join(dead, "move_id", "left_semi"), "sources_unlinked"), one)
+    return {
+        "people": people.join(gone, "person_id", "left_anti"), "moves": kept, "evidence": evidence.join(dead, "move_id", "left_anti"), "links": links.join(dead, "move_id", "left_anti"),
+        "tombstones": tombstones.unionByName(hashes.select("name_hash", F.lit(reason).alias("reason"), F.lit(actor).alias("actor"))), "log": log.select(F.lit(actor).alias("actor"), F.lit(reason).alias("reason"), "*"),
+    }
+
+
+def load_taxonomy(versions: DataFrame, nodes: DataFrame, version: str) -> DataFrame:
+    """The next table of versions (version, checksum, is_current) after ``nodes`` (code, name) are loaded as ``version``.
+
+    A version is immutable: loading it again with the same nodes changes nothing, with other nodes raises. A new version
+    becomes the only current one. Nodes are a fixed list; their checksum is read by the driver.
+    """
+    checksum = nodes.agg(F.md5(F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "code", "name"))), "|")).alias("c")).first().c
+    known = versions.filter(F.col("version") == version).select("checksum").first()
+    if known is not None:
+        if known.checksum != checksum:
+            raise ValueError(f"version {version} is loaded with other content; released versions don't change")
+        return versions
+    fresh = versions.sparkSession.createDataFrame([(version, checksum, True)], "version string, checksum string, is_current boolean")
+    return versions.withColumn("is_current", F.lit(False)).unionByName(fresh)
+
+
+class RunLedger:
+    """A log of runs in a folder: a run is opened when it starts and always closed, with its status and counters.
+
+    ``with ledger.run("ingest", campaign) as counts: counts["items_fetched"] = 3`` appends two entries; an error closes the
+    run as failed and goes on.
+    """
+
+    SCHEMA = "run_id string, campaign_id long, stage string, status string, started_at timestamp, finished_at timestamp, items_fetched int, items_unchanged int, errors int, logged_at timestamp"
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def _log(self, *row) -> None:
+        self.spark.createDataFrame([row], self.SCHEMA).coalesce(1).write.mode("append").parquet(self.folder)
+
+    @contextlib.contextmanager
+    def run(self, stage: str, campaign: int | None = None):
+        ident, started, counts = uuid.uuid4().hex, dt.datetime.now(), {"items_fetched": 0, "items_unchanged": 0, "errors": 0}
+        self._log(ident, campaign, stage, "running", started, None, 0, 0, 0, started)
+        status = "failed"
+        try:
+            yield counts
+            status = "succeeded"
+        except BaseException:
+            counts["errors"] += 1
+            raise
+        finally:
+            now = dt.datetime.now()
+            self._log(ident, campaign, stage, status, started, now, counts["items_fetched"], counts["items_unchanged"], counts["errors"], now)
+
+
 def orphans(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
     """Parents that no child refers to any more."""
     return parents.join(children.select(key).distinct(), key, "left_anti")

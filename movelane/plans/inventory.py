@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from movelane.functions import confidence, gazetteer, html, names, spans, taxonomy
 from movelane.operators import bindings, integrity, slots
-from movelane.operators.bindings import MOVES_SQL, SOURCES_SQL, with_sql
+from movelane.operators.bindings import MOVES_SQL, with_sql
 from movelane.plans.events import _SCORED_SQL, _SCORES_SQL, PLACE_CODES, pair_scores, practice_words, scored
 from movelane.plans.registry import Registry
 from movelane.plans.relational import _CANONICAL, CLASSIFIED_SQL, canonical, classified
@@ -231,13 +231,6 @@ def i06_classified_has_version(spark, root):
     return integrity.violations(classified(spark, root).filter("code is not null"), "move_id", {"classified_has_version": F.col("extractor_version").like("%.%")})
 
 
-@query(with_sql(MOVES_SQL) + "SELECT 'in_house_kind_agrees' AS rule, CAST(mv.move_id AS VARCHAR) AS id FROM mv JOIN firms f ON f.firm_id = mv.to_firm_id WHERE mv.move_type = 'in_house_exit' AND f.firm_type <> 'other'")
-def i08_in_house_kind(spark, root):
-    firms = table(spark, root, "firms").select(F.col("firm_id").alias("to_firm_id"), "firm_type")
-    rows = bindings.moves(spark, root).filter("move_type = 'in_house_exit'").join(firms, "to_firm_id")
-    return integrity.violations(rows, "move_id", {"in_house_kind_agrees": F.col("firm_type") == "other"})
-
-
 @query("SELECT 'window_within_60_days' AS rule, CAST(o_orderkey AS VARCHAR) AS id FROM (SELECT o.o_orderkey, date_diff('day', CAST(o.o_orderdate AS DATE), max(CAST(l.l_shipdate AS DATE))) AS days FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey, o.o_orderdate) WHERE NOT days BETWEEN 0 AND 60")
 def i10_window_rules(spark, root):
     last = table(spark, root, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max(F.to_date("l_shipdate")).alias("last_day"))
@@ -271,16 +264,4 @@ def i19_erased_stays_erased(spark, root):
     return rows.join(erased, "h", "left_semi").select(F.lit("erased_stays_erased").alias("rule"), F.col("move_id").cast("string").alias("id"))
 
 
-@query(with_sql(SOURCES_SQL) + "SELECT 'tier_known' AS rule, slug AS id FROM src WHERE tier IS NULL UNION ALL SELECT 'item_has_body', CAST(item_id AS VARCHAR) FROM raw_items WHERE body_text IS NULL UNION ALL SELECT 'move_has_firm', CAST(move_id AS VARCHAR) FROM extracted_moves WHERE to_firm_id IS NULL UNION ALL SELECT 'pair_differs', left_move_id || '-' || right_move_id FROM pair_scores WHERE left_move_id = right_move_id")
-def v05_violations(spark, root):
-    pairs = table(spark, root, "pair_scores").select(F.concat_ws("-", F.col("left_move_id").cast("string"), F.col("right_move_id").cast("string")).alias("id"), "left_move_id", "right_move_id")
-    parts = [
-        integrity.violations(bindings.sources(spark, root), "slug", {"tier_known": F.col("tier").isNotNull()}),
-        integrity.violations(table(spark, root, "raw_items"), "item_id", {"item_has_body": F.col("body_text").isNotNull()}),
-        integrity.violations(table(spark, root, "extracted_moves"), "move_id", {"move_has_firm": F.col("to_firm_id").isNotNull()}),
-        integrity.violations(pairs, "id", {"pair_differs": F.col("left_move_id") != F.col("right_move_id")}),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
-
-
 QUERIES, SQL = query.queries, query.sql

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from movelane.operators import bindings, integrity, upkeep
@@ -135,16 +136,82 @@ def i20_keys(spark, root):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
-@query(with_sql(MOVES_SQL) + "SELECT 'one_statement_of_each_field' AS rule, CAST(move_id AS VARCHAR) AS id FROM mv WHERE (CAST(from_firm IS NOT NULL AS INTEGER) + CAST(title_to IS NOT NULL AS INTEGER) + CAST(office IS NOT NULL AS INTEGER)) = 0")
-def i17_all_or_nothing(spark, root):
-    stated = sum((F.col(c).isNotNull().cast("int") for c in ("from_firm", "title_to", "office")), F.lit(0))
-    return integrity.violations(bindings.moves(spark, root), "move_id", {"one_statement_of_each_field": stated > 0})
-
-
-@query("SELECT group_ref AS id, 'exactly_one_leader' AS rule FROM (SELECT group_ref, count(*) FILTER (WHERE self_confidence >= 0.9) AS n FROM extracted_moves WHERE group_ref IS NOT NULL GROUP BY group_ref) WHERE n <> 1".replace("group_ref AS id", "CAST(group_ref AS VARCHAR) AS id"))
-def i07_exactly_one(spark, root):
-    rows = table(spark, root, "extracted_moves").filter("group_ref is not null")
-    return integrity.only_one(rows, ["group_ref"], F.col("self_confidence") >= 0.9, "exactly_one_leader")
+_QUEUE_SQL = "qu AS (SELECT left_move_id || '-' || right_move_id || '-' || coalesce(CAST(epoch_us(scored_at) AS VARCHAR), '') AS id, left_move_id AS move_id, right_move_id AS related_move_id, CASE WHEN lower(trim(decision)) = 'ambiguous' THEN 'dedupe_ambiguous' ELSE 'other' END AS reason, CASE WHEN lower(trim(decision)) IN ('merge', 'distinct') THEN scored_at END AS resolved_at, CASE WHEN lower(trim(decision)) IN ('merge', 'distinct') THEN decision END AS resolution, CASE WHEN total IS NOT NULL AND lower(trim(decision)) IN ('merge', 'distinct') THEN 'rules' END AS resolver FROM pair_scores)"
+
+
+@query(with_sql(_QUEUE_SQL) + "SELECT 'resolution_is_complete' AS rule, id FROM qu WHERE NOT ((resolved_at IS NULL) = (resolution IS NULL) AND (resolution IS NULL) = (resolver IS NULL)) UNION ALL SELECT 'pair_has_counterpart', id FROM qu WHERE reason = 'dedupe_ambiguous' AND related_move_id IS NULL UNION ALL SELECT 'not_self_paired', id FROM qu WHERE related_move_id = move_id")
+def i17_queue_items(spark, root):
+    """Scored pairs as review items: decided ones are resolved, by the rules where they have a total."""
+    decided = F.lower(F.trim("decision")).isin("merge", "distinct")
+    queue = table(spark, root, "pair_scores").select(
+        F.concat_ws("-", F.col("left_move_id").cast("string"), F.col("right_move_id").cast("string"), F.coalesce(F.unix_micros("scored_at").cast("string"), F.lit(""))).alias("id"), F.col("left_move_id").alias("move_id"), F.col("right_move_id").alias("related_move_id"),
+        F.when(F.lower(F.trim("decision")) == "ambiguous", "dedupe_ambiguous").otherwise("other").alias("reason"), F.when(decided, F.col("scored_at")).alias("resolved_at"), F.when(decided, F.col("decision")).alias("resolution"), F.when(decided & F.col("total").isNotNull(), "rules").alias("resolver"),
+    )
+    return integrity.queue_items(queue)
+
+
+# A practice that is stated classifies a move; each of its role clauses assigns one group, the first of them the primary.
+_STATE_SQL = (
+    "st AS (SELECT move_id, CASE WHEN practice_text IS NOT NULL THEN 'classified' ELSE 'pending' END AS state, extractor_version AS version, coalesce(group_ref IS NOT NULL AND extracted_at < max(extracted_at) OVER (PARTITION BY group_ref), false) AS superseded, coalesce(confidence < 0.35, false) AS rejected FROM mv), "
+    "ag AS (SELECT r.move_id, row_number() OVER (PARTITION BY r.move_id ORDER BY role_id) = 1 AS is_primary, CASE WHEN title IS NULL THEN 'none' ELSE mv.extractor_version END AS version FROM role_parts r JOIN mv ON mv.move_id = r.move_id WHERE trim(practice) <> ''), "
+    "lk AS (SELECT move_id, true AS is_primary FROM mv WHERE source_slug IS NOT NULL UNION ALL SELECT mv.move_id, i.source_slug <> mv.source_slug FROM mv JOIN raw_items i ON i.item_id = mv.item_id WHERE mv.source_slug IS NOT NULL AND i.source_slug IS NOT NULL), "
+    "tm AS (SELECT group_ref AS team_id, min_by(to_firm_id, move_id) AS to_firm, min_by(from_firm, move_id) AS from_firm, min(announced_date) AS window_start, min(announced_date) + 60 AS window_end, count(DISTINCT person_name) AS partner_count FROM mv WHERE group_ref IS NOT NULL GROUP BY group_ref)"
+)
+
+
+def states(spark, root):
+    """(moves, assignments, links, teams): the tables of the rules, from the domain tables as in ``_STATE_SQL``."""
+    rows = bindings.moves(spark, root)
+    last = rows.groupBy("group_ref").agg(F.max("extracted_at").alias("last"))
+    moves = rows.join(last, "group_ref", "left").select("move_id", F.when(F.col("practice_text").isNotNull(), "classified").otherwise("pending").alias("state"), F.col("extractor_version").alias("version"), F.coalesce(F.col("extracted_at") < F.col("last"), F.lit(False)).alias("superseded"), F.coalesce(F.col("confidence") < 0.35, F.lit(False)).alias("rejected"), "group_ref", "to_firm_id", "from_firm", "announced_date")
+    first = F.row_number().over(Window.partitionBy("move_id").orderBy("role_id")) == 1
+    roles = table(spark, root, "role_parts").filter(F.trim("practice") != "").select("move_id", "role_id", "title").join(rows.select("move_id", "extractor_version"), "move_id")
+    assignments = roles.select("move_id", first.alias("is_primary"), F.when(F.col("title").isNull(), "none").otherwise(F.col("extractor_version")).alias("version"))
+    own = rows.filter("source_slug is not null").select("move_id", "item_id", "source_slug")
+    items = table(spark, root, "raw_items").filter("source_slug is not null").select("item_id", F.col("source_slug").alias("other"))
+    links = own.select("move_id", F.lit(True).alias("is_primary")).unionByName(own.join(items, "item_id").select("move_id", (F.col("other") != F.col("source_slug")).alias("is_primary")))
+    teams = rows.filter("group_ref is not null").groupBy(F.col("group_ref").alias("team_id")).agg(
+        F.min_by("to_firm_id", F.when(F.col("to_firm_id").isNotNull(), F.col("move_id"))).alias("to_firm"), F.min_by("from_firm", F.when(F.col("from_firm").isNotNull(), F.col("move_id"))).alias("from_firm"), F.min("announced_date").alias("window_start"), F.date_add(F.min("announced_date"), 60).alias("window_end"), F.count_distinct("person_name").alias("partner_count"),
+    )
+    return moves, assignments, links, teams
+
+
+@query(
+    with_sql(MOVES_SQL, _STATE_SQL)
+    + ", ct AS (SELECT st.move_id, count(*) FILTER (WHERE ag.is_primary) AS p, count(*) FILTER (WHERE NOT ag.is_primary) AS s, count(*) FILTER (WHERE ag.version IS DISTINCT FROM st.version AND ag.move_id IS NOT NULL) AS w FROM st LEFT JOIN ag ON ag.move_id = st.move_id WHERE st.state = 'classified' GROUP BY st.move_id) "
+    "SELECT 'exactly_one_primary' AS rule, CAST(move_id AS VARCHAR) AS id FROM ct WHERE p <> 1 UNION ALL SELECT 'few_secondary', CAST(move_id AS VARCHAR) FROM ct WHERE s > 2 UNION ALL SELECT 'one_version', CAST(move_id AS VARCHAR) FROM ct WHERE w > 0"
+)
+def i07_classification(spark, root):
+    moves, assignments, *_ = states(spark, root)
+    return integrity.classification(moves, assignments)
+
+
+@query(
+    with_sql(MOVES_SQL, _STATE_SQL)
+    + "SELECT 'same_destination' AS rule, CAST(mv.move_id AS VARCHAR) AS id FROM mv JOIN tm ON tm.team_id = mv.group_ref WHERE mv.to_firm_id IS DISTINCT FROM tm.to_firm UNION ALL SELECT 'same_origin', CAST(mv.move_id AS VARCHAR) FROM mv JOIN tm ON tm.team_id = mv.group_ref WHERE tm.from_firm IS NOT NULL AND mv.from_firm IS DISTINCT FROM tm.from_firm "
+    "UNION ALL SELECT 'inside_window', CAST(mv.move_id AS VARCHAR) FROM mv JOIN tm ON tm.team_id = mv.group_ref WHERE NOT mv.announced_date BETWEEN tm.window_start AND tm.window_end "
+    "UNION ALL SELECT 'count_is_kept', CAST(tm.team_id AS VARCHAR) FROM tm LEFT JOIN (SELECT mv.group_ref, count(*) AS n FROM mv JOIN st ON st.move_id = mv.move_id WHERE NOT st.superseded GROUP BY 1) c ON c.group_ref = tm.team_id WHERE tm.partner_count <> coalesce(c.n, 0)"
+)
+def i09_team_membership(spark, root):
+    """Groups of moves as teams, their first move as what the others have to fit."""
+    moves, _, _, teams = states(spark, root)
+    return integrity.team_membership(moves.withColumnRenamed("group_ref", "team_id").withColumnRenamed("to_firm_id", "to_firm"), teams)
+
+
+@query(
+    with_sql(MOVES_SQL, _STATE_SQL)
+    + "SELECT 'classified_without_primary' AS rule, CAST(move_id AS VARCHAR) AS id FROM st WHERE state = 'classified' AND move_id NOT IN (SELECT move_id FROM ag WHERE is_primary) UNION ALL SELECT 'several_primary_sources', CAST(move_id AS VARCHAR) FROM lk GROUP BY move_id HAVING count(*) FILTER (WHERE is_primary) > 1 "
+    "UNION ALL SELECT 'canonical_without_source', CAST(move_id AS VARCHAR) FROM st WHERE NOT superseded AND NOT rejected AND move_id NOT IN (SELECT move_id FROM lk) UNION ALL SELECT 'team_of_fewer_than_two', CAST(team_id AS VARCHAR) FROM tm WHERE partner_count < 2"
+)
+def v05_monitored(spark, root):
+    return integrity.monitored(*states(spark, root))
+
+
+@query(with_sql(MOVES_SQL) + "SELECT 'exit_leads_in_house' AS rule, CAST(mv.move_id AS VARCHAR) AS id FROM mv LEFT JOIN firms f ON f.firm_id = mv.to_firm_id WHERE mv.move_type = 'in_house_exit' AND f.firm_type IS DISTINCT FROM 'other'")
+def i08_firm_kinds(spark, root):
+    """'other' is the kind that in-house teams have in the firms table."""
+    moves = bindings.moves(spark, root).select("move_id", "move_type", "to_firm_id", F.lit(None).cast("long").alias("from_firm_id"))
+    return integrity.firm_kinds(moves, table(spark, root, "firms"), "other")
 
 
 _GONE = "gone AS (SELECT DISTINCT person_name FROM extracted_moves WHERE person_name LIKE 'Alexander%')"

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from movelane.functions import confidence, gazetteer, html, names, spans, taxonomy
@@ -239,3 +240,52 @@ def test_integrity_and_upkeep(spark):
     assert sorted(map(tuple, both.collect())) == [("a", 9, "x"), ("b", 2, "z"), ("c", 3, "y")]
     after, log = upkeep.erase({"t": rows}, rows.filter("id = 1"), "id", {"t": "id"})
     assert after["t"].count() == 2 and log.first().erased == 1
+
+
+def test_erasure_leaves_hashes_and_counts(spark):
+    people = spark.createDataFrame([(1, "Ada Example", ["Example Ada", " "]), (2, "Bo Sample", None)], "person_id long, canonical_name string, name_variants array<string>")
+    moves = spark.createDataFrame([(10, 1, None, None, "open"), (11, 2, 10, dt.date(2025, 1, 1), "merged"), (12, 2, None, None, "open")], "move_id long, person_id long, superseded_by long, merged_at date, review_state string")
+    evidence, links = spark.createDataFrame([(10,), (10,), (11,)], "move_id long"), spark.createDataFrame([(10,), (12,)], "move_id long")
+    none = spark.createDataFrame([], "name_hash string, reason string, actor string")
+    state = upkeep.erase_person(people.filter("person_id = 1"), people, moves, evidence, links, none, "s", "asked", "desk")
+    assert [r.person_id for r in state["people"].collect()] == [2]
+    assert sorted((r.move_id, r.superseded_by, r.merged_at, r.review_state) for r in state["moves"].collect()) == [(11, None, None, "rejected"), (12, None, None, "open")]
+    log = state["log"].first()
+    assert (log.moves_deleted, log.evidence_deleted, log.sources_unlinked) == (1, 2, 1) and state["tombstones"].count() == 2
+    again = spark.createDataFrame([("Dr Ada Example",), ("Bo Sample",)], "n string").select(names.name_hash(F.col("n"), "s").alias("name_hash"))
+    assert again.join(state["tombstones"], "name_hash", "left_semi").count() == 1
+    assert upkeep.erase_person(people.limit(0), people, moves, evidence, links, none, "s", "x", "y")["log"].first().moves_deleted == 0
+
+
+def test_taxonomy_versions_do_not_change(spark):
+    none, nodes = spark.createDataFrame([], "version string, checksum string, is_current boolean"), spark.createDataFrame([("a", "A"), ("b", "B")], "code string, name string")
+    one = upkeep.load_taxonomy(none, nodes, "1.0")
+    assert upkeep.load_taxonomy(one, nodes.orderBy("name"), "1.0").count() == 1
+    two = upkeep.load_taxonomy(one, nodes.limit(1), "1.1")
+    assert {r.version: r.is_current for r in two.collect()} == {"1.0": False, "1.1": True}
+    with pytest.raises(ValueError):
+        upkeep.load_taxonomy(two, nodes.limit(1), "1.0")
+
+
+def test_the_ledger_always_closes_a_run(spark, tmp_path):
+    ledger = upkeep.RunLedger(spark, str(tmp_path / "runs"))
+    with ledger.run("ingest", 7) as counts:
+        counts["items_fetched"] = 3
+    with pytest.raises(KeyError), ledger.run("extract"):
+        raise KeyError
+    last = {r.stage: (r.status, r.items_fetched, r.errors) for r in spark.read.parquet(str(tmp_path / "runs")).filter("status <> 'running'").collect()}
+    assert last == {"ingest": ("succeeded", 3, 0), "extract": ("failed", 0, 1)}
+
+
+def test_integrity_of_states(spark):
+    moves = spark.createDataFrame([(1, "classified", "v1", False, False), (2, "classified", "v1", False, False), (3, "pending", "v1", True, False)], "move_id long, state string, version string, superseded boolean, rejected boolean")
+    given = spark.createDataFrame([(1, True, "v1"), (1, True, "v1"), (1, False, "v2"), (1, False, "v1"), (1, False, "v1")], "move_id long, is_primary boolean, version string")
+    rules = lambda frame: sorted((r.rule, r.id) for r in frame.collect())
+    assert rules(integrity.classification(moves, given)) == [("exactly_one_primary", "1"), ("exactly_one_primary", "2"), ("few_secondary", "1"), ("one_version", "1")]
+    teams, links = spark.createDataFrame([(5, 1), (6, 2)], "team_id long, partner_count long"), spark.createDataFrame([(1, True), (1, True)], "move_id long, is_primary boolean")
+    assert rules(integrity.monitored(moves, given, links, teams)) == [("canonical_without_source", "2"), ("classified_without_primary", "2"), ("several_primary_sources", "1"), ("team_of_fewer_than_two", "5")]
+    queue = spark.createDataFrame([("a", 1, "dedupe_ambiguous", None, None, None, "me"), ("b", 1, "x", 1, None, None, None)], "id string, move_id long, reason string, related_move_id long, resolved_at date, resolution string, resolver string")
+    assert rules(integrity.queue_items(queue)) == [("not_self_paired", "b"), ("pair_has_counterpart", "a"), ("resolution_is_complete", "a")]
+    kinds = spark.createDataFrame([(1, "in_house_exit", 1, None), (2, "in_house_exit", 2, None), (3, "in_house_entry", 2, 9), (4, "in_house_exit", None, None)], "move_id long, move_type string, to_firm_id long, from_firm_id long")
+    firms = spark.createDataFrame([(1, "in_house"), (2, "global")], "firm_id long, firm_type string")
+    assert rules(integrity.firm_kinds(kinds, firms)) == [("entry_comes_from_in_house", "3"), ("exit_leads_in_house", "2"), ("exit_leads_in_house", "4")]
